@@ -13,7 +13,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from replygauge.functions import lexicon as lx
-from replygauge.functions import text as tx
 from replygauge.functions.text import ColumnOrName, as_column
 
 
@@ -67,32 +66,6 @@ def coverage_score(share: ColumnOrName) -> Column:
     return F.when(share >= 1, 3).when(share >= 0.5, 2).otherwise(1)
 
 
-def audit_scores(source: ColumnOrName, generated: ColumnOrName) -> dict[str, Column]:
-    """The four rubric criteria and their sum, from text rules alone.
-
-    An invented reference pins extraction at 1; a time span no policy grants, a
-    prohibited phrase or an invented reference pins addressal at 1.
-    """
-    source, generated = as_column(source), as_column(generated)
-    invented = F.size(tx.invented_refs(source, generated)) > 0
-    need = F.concat(tx.ref_ids(source), tx.requested_resolution(source))
-    got = F.concat(tx.ref_ids(generated), tx.requested_resolution(generated))
-    off_policy = F.size(tx.off_policy_timeframes(generated)) > 0
-    prohibited = F.size(tx.violations(generated)) > 0
-    wanted = tx.requested_resolution(source)
-    answered = (F.size(wanted) == 0) | F.arrays_overlap(wanted, tx.requested_resolution(generated))
-    next_step = (F.size(tx.timeframes(generated)) > 0) | tx.asks_for_details(generated, source)
-    issue = cap(F.when(answered, 3).otherwise(2), invented | off_policy | prohibited)
-    clarity = F.when(next_step, 3).otherwise(2)
-    return {
-        "information_extraction_score": cap(F.lit(3), invented),
-        "field_coverage_score": coverage_score(coverage(need, got)),
-        "issue_addressal_score": issue,
-        "resolution_clarity_score": clarity,
-        "overall_score": issue + clarity,
-    }
-
-
 def business_days(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Weekdays after ``start`` up to and including ``end``; 0 unless end is later.
 

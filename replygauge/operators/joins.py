@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 
 def unique_by(df: DataFrame, key: str) -> DataFrame:
-    """The same rows; a key that occurs twice fails the query.
+    """The same rows; a key that occurs twice is an error.
 
-    The check is one aggregate over the key column. Its result joins as a filter,
-    so it cannot be skipped.
+    Runs one aggregate over the key column when called.
     """
     worst = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
     found = worst.first()["n"]

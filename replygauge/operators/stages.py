@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from replygauge.functions import lexicon as lx
 from replygauge.functions import text as tx
+from replygauge.functions.text import ColumnOrName, as_column
 from replygauge.functions.replies import OK, ReplySchema, Score, Text, parse_replies
 from replygauge.operators.prompting import Ref, assemble_messages, close_prompt, render
 from replygauge.sources.tickets import read_if_present
@@ -159,18 +160,18 @@ def stage_counts(enriched: DataFrame) -> DataFrame:
 _STORE_SCHEMA = "request_key string, raw string, error string, stage string"
 
 
-def requests(df: DataFrame, stage: Stage, fields: Mapping[str, str], prompts: DataFrame, model: str) -> DataFrame:
-    """The input with prompt text, messages and the key of its reply."""
-    # One row per stage prompt: a filter on a name that must be unique.
-    chosen = prompts.where(F.col("prompt") == stage.prompt).first()
-    if chosen is None:
+def system_text(prompts: DataFrame, stage: Stage) -> tuple[str, str]:
+    """Instruction text of a stage and its version."""
+    found = prompts.where(F.col("prompt") == stage.prompt).first()
+    if found is None:
         raise ValueError(f"no prompt named {stage.prompt}")
-    user = close_prompt(render(stage.template, {name: fields[name] for name in stage.inputs}))
-    settings = [stage.name, model, str(stage.temperature), chosen["version"]]
-    return df.withColumn("user_text", user).withColumns({
-        "messages": assemble_messages(F.lit(chosen["text"]), F.col("user_text")),
-        "request_key": F.sha2(F.concat_ws("\x1f", *map(F.lit, settings), F.col("user_text")), 256),
-    })
+    return found["text"], found["version"]
+
+
+def request_key(stage: Stage, version: str, model: str, user_text: ColumnOrName) -> Column:
+    """Key of a reply: everything that went into asking for it."""
+    settings = [stage.name, model, str(stage.temperature), version]
+    return F.sha2(F.concat_ws("\x1f", *map(F.lit, settings), as_column(user_text)), 256)
 
 
 def isolated(scorer: BatchScorer) -> BatchScorer:
@@ -207,23 +208,26 @@ class ReplyStore:
         stored = read_if_present(spark, self.path, _STORE_SCHEMA)
         return stored.where((F.col("stage") == stage.name) & F.col("error").isNull())
 
-    def ask(self, asked: DataFrame, stage: Stage, scorer: BatchScorer, partitions: int | None = None) -> DataFrame:
+    def ask(
+        self, asked: DataFrame, stage: Stage, system: str, scorer: BatchScorer, partitions: int | None = None
+    ) -> DataFrame:
         """Reply of each distinct request, asking only for those not stored yet.
 
-        Copies collapse before the shuffle. ``partitions`` sets how many scorers
-        run at once. Failed rows are stored with their error and asked again in
-        the next run.
+        ``asked`` holds ``request_key`` and ``user_text``. Copies collapse before
+        the shuffle, and the instruction text is added only after it.
+        ``partitions`` sets how many scorers run at once. A failed row is stored
+        with its error and asked again in the next run.
         """
         spark = asked.sparkSession
-        distinct = asked.where(F.col("user_text").isNotNull()).groupBy("request_key").agg(
-            F.any_value("messages").alias("messages")
-        )
+        distinct = asked.where(F.col("user_text").isNotNull()).dropDuplicates(["request_key"])
         todo = distinct.join(self.read(spark, stage).select("request_key"), "request_key", "left_anti")
         if partitions:
             todo = todo.repartition(partitions)
-        answered = todo.mapInPandas(isolated(scorer), "request_key string, raw string, error string")
+        answered = todo.select(
+            "request_key", assemble_messages(F.lit(system), "user_text").alias("messages")
+        ).mapInPandas(isolated(scorer), "request_key string, raw string, error string")
         answered.withColumn("stage", F.lit(stage.name)).write.mode("append").partitionBy("stage").parquet(self.path)
-        replies = spark.read.schema(_STORE_SCHEMA).parquet(self.path).where(F.col("stage") == stage.name)
+        replies = read_if_present(spark, self.path, _STORE_SCHEMA).where(F.col("stage") == stage.name)
         # A key asked again after an error has several rows; a reply wins over an error.
         return replies.groupBy("request_key").agg(F.max("raw").alias("raw"), F.max("error").alias("error")).select(
             "request_key", "raw", F.when(F.col("raw").isNull(), F.col("error")).alias("error")
@@ -246,9 +250,11 @@ def run_model(
     so using the result twice does not ask twice.
     """
     raw, error = f"{stage.name}_raw", f"{stage.name}_error"
-    asked = requests(df, stage, fields, prompts, model)
-    replies = store.ask(asked.select("request_key", "user_text", "messages"), stage, scorer, partitions)
+    system, version = system_text(prompts, stage)
+    user = close_prompt(render(stage.template, {name: fields[name] for name in stage.inputs}))
+    asked = df.withColumn("user_text", user).withColumn("request_key", request_key(stage, version, model, "user_text"))
+    replies = store.ask(asked.select("request_key", "user_text"), stage, system, scorer, partitions)
     joined = asked.join(
         replies.withColumnsRenamed({"raw": raw, "error": error}), "request_key", "left"
-    ).drop("request_key", "user_text", "messages")
+    ).drop("request_key", "user_text")
     return parse_replies(joined, raw, stage.schema, into=stage.name)
