@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from replygauge.plans import text_queries  # noqa: F401
+from replygauge.plans import reply_queries, stage_queries, text_queries  # noqa: F401
 from replygauge.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
