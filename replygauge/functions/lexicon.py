@@ -160,7 +160,7 @@ GENERIC_PRAISE = r"good summary|captures the key points|great reply|looks fine|w
 # Facts an agent needs, one pattern per kind, matched on lower-cased text.
 FACT_PATTERNS = {
     "amounts": r"(?:rs\.? ?|[$€£])\d+(?:[.,]\d+)*",
-    "dates": r"\d{4}-\d{2}-\d{2}|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]* \d{1,2}|\d{1,2}(?:st|nd|rd|th)",
+    "dates": r"\d{4}-\d{2}-\d{2}|\d{1,2}(?:st|nd|rd|th)|(?:j(?:an|u[nl])|feb|ma[ry]|a(?:pr|ug)|sep|oct|nov|dec)[a-z]* \d{1,2}",
     "waits": r"\d+ (?:hour|day|week|month)s?",
     "transactions": r"txn-?\d{4,}",
 }

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replygauge.functions import lexicon as lx
@@ -51,6 +51,13 @@ def word_count(text: ColumnOrName) -> Column:
     return F.coalesce(F.regexp_count(as_column(text), F.lit(r"(?U)[\S&&[^\x1c-\x1f]]+")), F.lit(0))
 
 
+def has_words(text: ColumnOrName, n: int) -> Column:
+    """Does the text have at least n words? Reads no further than the n-th."""
+    word, gap = r"[\S&&[^\x1c-\x1f]]+", r"[\s\x1c-\x1f]+"
+    pattern = rf"(?U)\A[\s\x1c-\x1f]*(?:{word}{gap}){{{n - 1}}}[\S&&[^\x1c-\x1f]]"
+    return F.coalesce(F.regexp_like(as_column(text), F.lit(pattern)), F.lit(False))
+
+
 def sentence_count(text: ColumnOrName) -> Column:
     """Sentences end in ``.!?`` before whitespace or the end, so 3.5 does not split."""
     parts = F.split(as_column(text), r"[.!?]+(\s+|$)")
@@ -127,7 +134,7 @@ def classify(
 ) -> Column:
     """Category of a text: first matching rule, else unclear if short, else the default."""
     text = F.coalesce(as_column(text), F.lit(""))
-    fallback = F.when(word_count(text) < min_words, F.lit(unclear)).otherwise(F.lit(default))
+    fallback = F.when(has_words(text, min_words), F.lit(default)).otherwise(F.lit(unclear))
     return F.coalesce(first_label(F.lower(text), rules), fallback)
 
 
@@ -286,14 +293,20 @@ def asks_for_details(reply: ColumnOrName, source: ColumnOrName, pattern: str = l
     return F.regexp_like(low, F.lit("(?d)" + pattern)) & (F.size(ref_ids(source)) == 0)
 
 
-def expand_shorthand(text: ColumnOrName, terms: Mapping[str, str] = lx.SHORTHAND) -> Column:
-    """Write out each term after its first use. Texts without a term are left alone."""
-    text = as_column(text)
-    low = F.lower(text)
-    expanded = text
+def expand_shorthand(
+    df: DataFrame, column: str, into: str, terms: Mapping[str, str] = lx.SHORTHAND
+) -> DataFrame:
+    """Add the text with each term written out after its first use.
+
+    One projection per term, so that a text without the term is passed on and
+    not searched.
+    """
+    low = f"__{into}_low"
+    df = df.withColumns({low: F.lower(column), into: F.col(column)})
     for term, meaning in terms.items():
-        expanded = F.regexp_replace(expanded, rf"\A(?s)(.*?)\b((?i){_quote(term)})\b", f"$1$2 ({meaning})")
-    return F.when(reduce(or_, [low.contains(term.lower()) for term in terms]), expanded).otherwise(text)
+        first_use = F.regexp_replace(into, rf"\A(?s)(.*?)\b((?i){_quote(term)})\b", f"$1$2 ({meaning})")
+        df = df.withColumn(into, F.when(F.col(low).contains(term.lower()), first_use).otherwise(F.col(into)))
+    return df.drop(low)
 
 
 def is_generic_reasoning(

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +20,8 @@ from pyspark.sql import functions as F
 
 from replygauge.functions import lexicon as lx
 from replygauge.functions import text as tx
-from replygauge.functions.text import ColumnOrName, as_column
 from replygauge.functions.replies import OK, ReplySchema, Score, Text, parse_replies
+from replygauge.functions.text import ColumnOrName, as_column
 from replygauge.operators.prompting import Ref, assemble_messages, close_prompt, render
 from replygauge.sources.tickets import read_if_present
 
@@ -79,25 +81,36 @@ def stage_table(spark: SparkSession) -> DataFrame:
     )
 
 
-RuleScorer = Callable[[Stage, Mapping[str, Column]], Column]
 BatchScorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
-def rule_reply(stage: Stage, fields: Mapping[str, Column]) -> Column:
-    """Baseline scorer: a JSON reply derived from category and references.
+@dataclass(frozen=True)
+class RuleScorer:
+    """A scorer made of column expressions.
 
-    A text too unclear to classify loses one point on coverage and addressal. The
-    text judged is always the first input of the stage.
+    ``features`` are what it needs to know about the text it judges, the first
+    input of a stage. They become columns, computed once for all stages that judge
+    the same text. ``reply`` makes the JSON reply from them.
     """
-    subject = fields[stage.inputs[0]]
-    category, refs = tx.classify(subject), tx.order_refs(subject)
-    fair = F.when(category == lx.UNCLEAR, 2).otherwise(3)
+
+    features: Callable[[Column], dict[str, Column]]
+    reply: Callable[[Stage, dict[str, Column]], Column]
+
+
+def _rule_features(text: Column) -> dict[str, Column]:
+    return {"category": tx.classify(text), "refs": tx.order_refs(text)}
+
+
+def _rule_reply(stage: Stage, known: dict[str, Column]) -> Column:
+    fair = F.when(known["category"] == lx.UNCLEAR, 2).otherwise(3)
     note = F.lit(f"{lx.MOCK_MARKER}] rule-based score")
     values = {
-        "summary": F.concat(F.lit(f"{lx.MOCK_MARKER} SUMMARY] "), category, F.lit(" on order "), refs, F.lit(".")),
+        "summary": F.concat(
+            F.lit(f"{lx.MOCK_MARKER} SUMMARY] "), known["category"], F.lit(" on order "), known["refs"], F.lit(".")
+        ),
         "response": F.concat(
-            F.lit(f"{lx.GREETING}\n\n{lx.MOCK_MARKER} REPLY] Issue: "), category, F.lit(", order "), refs,
-            F.lit(".\n\nKind regards,\nThe Support Team"),
+            F.lit(f"{lx.GREETING}\n\n{lx.MOCK_MARKER} REPLY] Issue: "), known["category"], F.lit(", order "),
+            known["refs"], F.lit(".\n\nKind regards,\nThe Support Team"),
         ),
         "information_extraction_score": F.lit(3),
         "field_coverage_score": fair,
@@ -110,17 +123,25 @@ def rule_reply(stage: Stage, fields: Mapping[str, Column]) -> Column:
     ))
 
 
-def run_rules(df: DataFrame, stage: Stage, fields: Mapping[str, str], scorer: RuleScorer = rule_reply) -> DataFrame:
+# Baseline: replies derived from category and references. A text too unclear to
+# classify loses one point on coverage and on addressal.
+RULES = RuleScorer(_rule_features, _rule_reply)
+
+
+def run_rules(df: DataFrame, stage: Stage, fields: Mapping[str, str], scorer: RuleScorer = RULES) -> DataFrame:
     """Run a stage with a rule scorer. Adds raw reply, class and parsed struct.
 
-    A row with a blank input is not sent; its class is ``empty``.
+    A row with a blank input is not sent; its class is ``empty``. Feature columns
+    stay on the row, named ``__<input>_<feature>``, for the stages that follow.
     """
-    inputs = {name: F.col(fields[name]) for name in stage.inputs}
-    unsent = tx.is_blank(inputs[stage.inputs[0]])
-    for name in stage.inputs[1:]:
-        unsent = unsent | tx.is_blank(inputs[name])
+    subject = stage.inputs[0]
+    features = {f"__{subject}_{name}": c for name, c in scorer.features(F.col(fields[subject])).items()}
+    if not set(features) <= set(df.columns):
+        df = df.withColumns(features)
+    known = {name.removeprefix(f"__{subject}_"): F.col(name) for name in features}
+    unsent = reduce(or_, [tx.is_blank(fields[name]) for name in stage.inputs])
     raw = f"{stage.name}_raw"
-    scored = df.withColumn(raw, F.when(~unsent, scorer(stage, inputs)))
+    scored = df.withColumn(raw, F.when(~unsent, scorer.reply(stage, known)))
     return parse_replies(scored, raw, stage.schema, into=stage.name)
 
 
@@ -128,11 +149,12 @@ def run_rules(df: DataFrame, stage: Stage, fields: Mapping[str, str], scorer: Ru
 FIELDS = {"ticket": "support_ticket_desc", "summary": "summarise.summary", "response": "respond.response"}
 
 
-def enrich(tickets: DataFrame, scorer: RuleScorer = rule_reply) -> DataFrame:
+def enrich(tickets: DataFrame, scorer: RuleScorer = RULES) -> DataFrame:
     """All four stages over a ticket table, without a shuffle."""
+    enriched = tickets
     for stage in STAGES:
-        tickets = run_rules(tickets, stage, FIELDS, scorer)
-    return tickets
+        enriched = run_rules(enriched, stage, FIELDS, scorer)
+    return enriched.drop(*[name for name in enriched.columns if name.startswith("__")])
 
 
 def consolidate(enriched: DataFrame) -> DataFrame:

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from replygauge.plans import reply_queries, stage_queries, text_queries  # noqa: F401
+from replygauge.plans import (  # noqa: F401
+    reply_queries,
+    report_queries,
+    source_queries,
+    stage_queries,
+    text_queries,
+)
 from replygauge.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

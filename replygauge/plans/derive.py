@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replygauge.operators.joins import pair_turns
-from replygauge.sources.tables import table
+from replygauge.sources.tables import spread, table
 
 TICKET_PHRASES = [
     "Order SNX-1042 was charged twice, please refund one charge of $49.99 within 5 days.",
@@ -62,7 +62,7 @@ def pick(values: list[str], index: Column) -> Column:
 
 
 def tickets(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
     return docs.select(
         F.col("doc_id").cast("string").alias("support_ticket_id"),
         F.concat("text", F.lit("\n"), pick(TICKET_PHRASES, F.col("doc_id"))).alias("support_ticket_desc"),
@@ -71,7 +71,7 @@ def tickets(spark: SparkSession, folder: str) -> DataFrame:
 
 def reply_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Source and reply of each answered user turn, as (pair_id, source, reply)."""
-    pairs = pair_turns(table(spark, folder, "conversations"))
+    pairs = pair_turns(spread(table(spark, folder, "conversations")))
     number = F.col("conv_id") + F.col("turn")
     head = F.when(F.pmod(number, F.lit(4)) == 0, F.lit("")).otherwise(F.lit("Dear Customer,\n\n"))
     return pairs.select(

@@ -11,7 +11,7 @@ from replygauge.operators import report
 from replygauge.plans import sql as s
 from replygauge.plans.derive import pick, reply_pairs, tickets
 from replygauge.plans.registry import query
-from replygauge.sources.tables import table
+from replygauge.sources.tables import spread, table
 
 DIGITS = r"\d{4,}"
 
@@ -30,7 +30,7 @@ SELECT lang, count(*) AS n, min(words) AS min_words, max(words) AS max_words,
   round(count(*) * 2.5 / 60, 6) AS decode_hours
 FROM e GROUP BY lang""")
 def text_profile(spark: SparkSession, folder: str) -> DataFrame:
-    profile = report.text_profile(table(spark, folder, "documents"), "text", "doc_id", ["lang"])
+    profile = report.text_profile(spread(table(spark, folder, "documents").select("lang", "doc_id", "text")), "text", "doc_id", ["lang"])
     return profile.select(
         "lang", "n", *_long("min_words", "max_words"), F.round("mean_words", 6).alias("mean_words"),
         "median_words", "under_20", "over_120", "shortest", "longest",
@@ -87,7 +87,7 @@ SELECT lang, count(*) AS n, count(*) FILTER (WHERE refs = 0) AS no_ref,
   count(*) FILTER (WHERE refs > 0) AS with_ref, count(*) FILTER (WHERE refs > 1) AS several_refs
 FROM r GROUP BY lang""")
 def ref_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    return report.ref_coverage(table(spark, folder, "documents"), "text", ["lang"], pattern=DIGITS)
+    return report.ref_coverage(spread(table(spark, folder, "documents").select("lang", "text")), "text", ["lang"], pattern=DIGITS)
 
 
 @query(f"""
@@ -136,7 +136,7 @@ SELECT doc_id, sentences, words BETWEEN 30 AND 70 AS words_ok, sentences BETWEEN
   NOT regexp_matches(text, '(?m)^ {{0,3}}#{{1,6}} |^[^\\n]{{1,60}}:$') AS no_headings
 FROM p""")
 def summary_form(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id",
         tx.sentence_count("text").cast("bigint").alias("sentences"),
         *[flag.alias(name) for name, flag in tx.summary_form("text").items()],
@@ -154,7 +154,7 @@ WITH {s.TICKETS}, x AS (SELECT *, {_expanded('support_ticket_desc')} AS expanded
 SELECT support_ticket_id, expanded <> support_ticket_desc AS is_changed, sha256(expanded) AS expanded_sha
 FROM x""")
 def shorthand(spark: SparkSession, folder: str) -> DataFrame:
-    expanded = tickets(spark, folder).withColumn("expanded", tx.expand_shorthand("support_ticket_desc"))
+    expanded = tx.expand_shorthand(tickets(spark, folder), "support_ticket_desc", "expanded")
     return expanded.select(
         "support_ticket_id",
         (F.col("expanded") != F.col("support_ticket_desc")).alias("is_changed"),
@@ -176,7 +176,7 @@ def marker_extract(spark: SparkSession, folder: str) -> DataFrame:
     wrapped = F.concat(
         pick(_BEFORE, F.col("doc_id")), F.col("text"), pick(_AFTER, F.floor(F.col("doc_id") / 3))
     )
-    docs = table(spark, folder, "documents").select("doc_id", wrapped.alias("wrapped"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", wrapped.alias("wrapped"))
     return docs.select("doc_id", F.sha2(tx.between_markers("wrapped"), 256).alias("inner_sha"))
 
 
@@ -196,7 +196,7 @@ SELECT page_id, CASE {" ".join(f"WHEN contains(flat, {s.q(p)}) THEN {s.q(label)}
   ELSE 'unknown' END AS stage FROM p""")
 def phrase_label(spark: SparkSession, folder: str) -> DataFrame:
     text = F.concat("html", F.lit("\n"), pick(_INSTRUCTIONS, F.col("page_id")))
-    pages = table(spark, folder, "pages").select("page_id", text.alias("text"))
+    pages = spread(table(spark, folder, "pages").select("page_id", "html")).select("page_id", text.alias("text"))
     return pages.select("page_id", tx.label_by_phrase("text").alias("stage"))
 
 
@@ -283,5 +283,5 @@ WITH w AS (SELECT doc_id, {s.words('text')} AS words FROM documents)
 SELECT (SELECT doc_id FROM w ORDER BY words, doc_id LIMIT 1) AS lowest,
   (SELECT doc_id FROM w ORDER BY words DESC, doc_id LIMIT 1) AS highest""")
 def extremes(spark: SparkSession, folder: str) -> DataFrame:
-    words = table(spark, folder, "documents").select("doc_id", tx.word_count("text").alias("words"))
+    words = spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", tx.word_count("text").alias("words"))
     return report.extremes(words, "doc_id", "words")

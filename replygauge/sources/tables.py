@@ -7,3 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for text work on a table stored in few pieces.
+
+    A scan cannot be split below a row group. Where it yields at most half as many
+    tasks as there are cores, the rows are dealt out evenly; a table large enough
+    to fill the cluster passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
