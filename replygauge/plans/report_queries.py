@@ -16,7 +16,7 @@ from replygauge.plans.registry import query
 from replygauge.session import work_folder
 from replygauge.sources.prompts import clause_facts
 from replygauge.sources.sinks import write_review_queue, write_statistics
-from replygauge.sources.tables import spread, table
+from replygauge.sources.tables import small_table, spread, table
 
 
 def _audited(spark: SparkSession, folder: str) -> DataFrame:
@@ -266,7 +266,8 @@ _POLICY_SQL = ", ".join(
 @query(f"""
 WITH d AS (SELECT CASE l_returnflag WHEN 'R' THEN 'return' WHEN 'A' THEN 'reversal' ELSE 'delay' END AS policy,
   CAST(o_orderdate AS DATE) AS a, CAST(l_shipdate AS DATE) AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-x AS (SELECT policy, CASE WHEN policy = 'reversal' THEN 5 * (date_diff('week', a, b))
+x AS (SELECT policy, CASE WHEN policy = 'reversal' THEN
+    5 * (date_diff('day', CAST(date_trunc('week', a) AS DATE), CAST(date_trunc('week', b) AS DATE)) // 7)
     + least(isodow(b), 5) - least(isodow(a), 5) ELSE date_diff('day', a, b) END AS days,
   a, b FROM d),
 y AS (SELECT policy, CASE WHEN policy = 'reversal' AND b <= a THEN 0 ELSE days END AS days FROM x),
@@ -288,9 +289,7 @@ def policy_bands(spark: SparkSession, folder: str) -> DataFrame:
     )
     # Count equal lookups first: the band join then sees one row per policy and day.
     counted = joined.select("policy", days.alias("days")).groupBy("policy", "days").agg(F.count(F.lit(1)).alias("n"))
-    bands = spark.createDataFrame(
-        lx.POLICY_BANDS, "policy string, lo_days int, hi_days int, entitlement string"
-    )
+    bands = small_table(spark, ["policy", "lo_days", "hi_days", "entitlement"], lx.POLICY_BANDS)
     looked_up = joins.policy_entitlement(counted, bands, "policy", "days")
     return looked_up.groupBy("policy", F.coalesce("entitlement", F.lit("none")).alias("entitlement")).agg(
         F.sum("n").alias("n")
@@ -307,5 +306,5 @@ SELECT category, n, policy, policy IS NOT NULL AS is_covered FROM c LEFT JOIN m
 def governing_policy(spark: SparkSession, folder: str) -> DataFrame:
     category = tx.classify("support_ticket_desc").alias("category")
     counted = tickets(spark, folder).select(category).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
-    mapping = spark.createDataFrame(list(lx.GOVERNING_POLICY.items()), "category string, policy string")
+    mapping = small_table(spark, ["category", "policy"], list(lx.GOVERNING_POLICY.items()))
     return joins.governing_policy(counted, mapping, "category")

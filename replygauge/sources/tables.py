@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,3 +21,8 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
+def small_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
+    """A lookup table given in code. Its exact size is known to the planner."""
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(columns, row, strict=True)) for row in rows]))
