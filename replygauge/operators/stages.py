@@ -199,23 +199,23 @@ def request_key(stage: Stage, version: str, model: str, user_text: ColumnOrName)
 def isolated(scorer: BatchScorer) -> BatchScorer:
     """Keep a failing row from failing its batch.
 
-    A batch that raises is tried again row by row; a row that raises alone gets
+    A batch that raises is halved and tried again; a row that raises alone gets
     its error text and no reply.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield from _try_batch(batch)
-
-    def _try_batch(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        try:
-            yield pd.concat(list(scorer(iter([batch]))))[["request_key", "raw"]].assign(error=None)
-        except Exception as error:
-            if len(batch) == 1:
-                yield batch[["request_key"]].assign(raw=None, error=f"{type(error).__name__}: {error}")
-                return
-            for start in range(len(batch)):
-                yield from _try_batch(batch.iloc[start:start + 1])
+            waiting = [batch]
+            while waiting:
+                part = waiting.pop()
+                try:
+                    yield pd.concat(list(scorer(iter([part]))))[["request_key", "raw"]].assign(error=None)
+                except Exception as error:
+                    if len(part) == 1:
+                        yield part[["request_key"]].assign(raw=None, error=f"{type(error).__name__}: {error}")
+                    else:
+                        middle = len(part) // 2
+                        waiting += [part.iloc[middle:], part.iloc[:middle]]
 
     return run
 

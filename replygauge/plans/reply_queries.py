@@ -13,7 +13,7 @@ from replygauge.operators.stages import SUMMARISE
 from replygauge.plans import sql as s
 from replygauge.plans.derive import pick, tickets
 from replygauge.plans.registry import query
-from replygauge.sources.tables import table
+from replygauge.sources.tables import spread, table
 
 _SYSTEM = "You are a triage analyst."
 
@@ -136,7 +136,9 @@ def _event_replies(spark: SparkSession, folder: str) -> DataFrame:
     raw = F.when(form_number == 0, forms[0])
     for i, form in enumerate(forms[1:], start=1):
         raw = raw.when(form_number == i, form)
-    events = table(spark, folder, "events").select("event_id", "event_type", k.alias("k"))
+    events = spread(table(spark, folder, "events").select("event_id", "event_type", "props")).select(
+        "event_id", "event_type", k.alias("k")
+    )
     raws = events.select("event_id", body.alias("body")).select("event_id", raw.alias("raw"))
     return parse_replies(raws, "raw", _SCHEMA)
 
