@@ -141,7 +141,7 @@ def _has_bad_type(values: Column, types: Column, schema: ReplySchema) -> Column:
             good.append(kind == "STRING")
         else:
             number = (kind == "BIGINT") | (kind == "DOUBLE") | (kind == "FLOAT") | kind.startswith("DECIMAL")
-            good.append(number & (values[field.name] == F.floor(values[field.name])))
+            good.append(number & (values[field.name] % 1 == 0))
     return ~F.coalesce(reduce(and_, good), F.lit(False))
 
 

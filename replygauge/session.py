@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", app: str = "replygauge") -> SparkSession:
+def local_session(
+    cores: int | str = "*", app: str = "replygauge", extra: Mapping[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and benchmarks. On a cluster, bring your own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -20,6 +23,7 @@ def local_session(cores: int | str = "*", app: str = "replygauge") -> SparkSessi
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(map=dict(extra or {}))
         .getOrCreate()
     )
 
