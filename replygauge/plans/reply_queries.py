@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from replygauge.functions import lexicon as lx
 from replygauge.functions import numeric
 from replygauge.functions.replies import ReplySchema, Score, Text, overall_matches, parse_replies
-from replygauge.operators.prompting import assemble_messages, close_prompt, last_message, last_messages, render
+from replygauge.operators.prompting import assemble_messages, close_prompt, last_messages, render
+from replygauge.operators.prompting import last_message as last_of_role
 from replygauge.operators.stages import SUMMARISE
 from replygauge.plans import sql as s
 from replygauge.plans.derive import pick, tickets
@@ -43,16 +44,16 @@ def assembled_messages(spark: SparkSession, folder: str) -> DataFrame:
     return messages.select(
         "support_ticket_id",
         F.size("messages").cast("bigint").alias("n_messages"),
-        last_message("messages", "system").alias("last_system"),
-        F.sha2(last_message("messages", "user"), 256).alias("last_user_sha"),
-        last_message("messages", "assistant").alias("last_assistant"),
+        last_of_role("messages", "system").alias("last_system"),
+        F.sha2(last_of_role("messages", "user"), 256).alias("last_user_sha"),
+        last_of_role("messages", "assistant").alias("last_assistant"),
     )
 
 
 @query("""
 SELECT conv_id, coalesce(arg_max(text, turn) FILTER (WHERE role = 'assistant'), '') AS last_message
 FROM conversations GROUP BY conv_id""")
-def last_message_by_role(spark: SparkSession, folder: str) -> DataFrame:
+def last_message(spark: SparkSession, folder: str) -> DataFrame:
     return last_messages(table(spark, folder, "conversations"), "assistant")
 
 
