@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,79 +77,75 @@ def _whole_value(body: Column, before: str, after: str) -> Column:
 def parse_replies(
     df: DataFrame, raw: str, schema: ReplySchema, *, into: str = "reply", repair: bool = False
 ) -> DataFrame:
-    """Add ``<into>_class`` and the struct ``<into>``, null unless the class is ok."""
-    body, whole, first, output, types = (f"__{into}_{part}" for part in ("body", "whole", "first", "output", "types"))
+    """Add ``<into>_class`` and the struct ``<into>``, null unless the class is ok.
+
+    Good replies are told by one comparison of their shape; the reasons are worked
+    out only for the others.
+    """
+    body, whole, output, shape, found = (f"__{into}_{part}" for part in ("body", "whole", "output", "shape", "found"))
     unwrapped = repair_open_fence(raw) if repair else strip_fence(raw)
+    alone = _whole_value(F.col(body), "[", "]").isNotNull()
     parsed = (
         df.withColumn(body, unwrapped)
+        .withColumn(whole, F.when(alone, _whole_value(F.col(body), '{"r":', "}")))
+        .withColumn(output, F.try_variant_get(whole, "$.r.output", "variant"))
         .withColumns({
-            whole: F.when(
-                _whole_value(F.col(body), "[", "]").isNotNull(), _whole_value(F.col(body), '{"r":', "}")
-            ),
+            shape: F.schema_of_variant(output),
+            found: F.struct(*[
+                F.try_variant_get(output, f"$.{f.name}", "double" if isinstance(f, Score) else "string").alias(f.name)
+                for f in schema.fields
+            ]),
         })
-        .withColumn(output, F.try_variant_get(whole, "$.r.output", "variant"))
-        .withColumn(types, F.struct(*[
-            F.schema_of_variant(F.try_variant_get(output, f"$.{f.name}", "variant")).alias(f.name)
-            for f in schema.fields
-        ]))
     )
-    typed = F.struct(*[
-        F.try_variant_get(output, f"$.{f.name}", "double" if isinstance(f, Score) else "string").alias(f.name)
-        for f in schema.fields
-    ])
-    parsed = parsed.withColumn(first, typed)
-
-    starts, ends = F.col(body).startswith("{"), F.col(body).endswith("}")
-    unreadable = F.col(whole).isNull()
+    values, unreadable = F.col(found), F.col(whole).isNull()
+    good_types = F.regexp_like(shape, F.lit(_shape_pattern(schema))) & _all_integral(values, schema)
+    in_range = _all_in_range(values, schema)
     reply_class = (
-        F.when(is_blank(body), "empty")
+        F.when(good_types & in_range, OK)
+        .when(is_blank(body), "empty")
         .when(F.col(body).startswith("```"), "open_fence")
-        .when(~starts, "prose")
+        .when(~F.col(body).startswith("{"), "prose")
         .when(unreadable & F.try_parse_json(body).isNotNull(), "trailing_text")
-        .when(unreadable & ~ends, "truncated")
+        .when(unreadable & ~F.col(body).endswith("}"), "truncated")
         .when(unreadable, "malformed")
-        .when(_has_wrong_shape(F.col(output), F.col(types), schema), "wrong_shape")
-        .when(_has_bad_type(F.col(first), F.col(types), schema), "bad_type")
-        .when(_is_out_of_range(F.col(first), schema), "out_of_range")
-        .otherwise(OK)
+        .when(_has_wrong_keys(F.col(output), schema), "wrong_shape")
+        .when(good_types, "out_of_range")
+        .otherwise("bad_type")
     )
-    values = F.struct(*[
-        (F.col(first)[f.name].cast("int") if isinstance(f, Score) else F.col(first)[f.name]).alias(f.name)
-        for f in schema.fields
+    typed = F.struct(*[
+        (values[f.name].cast("int") if isinstance(f, Score) else values[f.name]).alias(f.name) for f in schema.fields
     ])
     return (
         parsed.withColumn(f"{into}_class", reply_class)
-        .withColumn(into, F.when(F.col(f"{into}_class") == OK, values))
-        .drop(body, whole, first, output, types)
+        .withColumn(into, F.when(F.col(f"{into}_class") == OK, typed))
+        .drop(body, whole, output, shape, found)
     )
 
 
-def _has_wrong_shape(output: Column, types: Column, schema: ReplySchema) -> Column:
+def _shape_pattern(schema: ReplySchema) -> str:
+    """What the type of a good reply looks like. Keys of a variant are sorted."""
+    number = r"(BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
+    fields = sorted(schema.fields, key=lambda f: f.name)
+    return "^OBJECT<" + ", ".join(f"{f.name}: {number if isinstance(f, Score) else 'STRING'}" for f in fields) + ">$"
+
+
+def _has_wrong_keys(output: Column, schema: ReplySchema) -> Column:
     """No envelope, a required key missing, or a key nobody declared."""
-    missing = reduce(or_, [types[name].isNull() for name in schema.names])
     keys = F.json_object_keys(F.to_json(output))
-    extra = F.size(F.array_except(keys, F.array(*map(F.lit, schema.names)))) > 0
-    return F.coalesce(missing | extra, F.lit(True))
-
-
-def _has_bad_type(values: Column, types: Column, schema: ReplySchema) -> Column:
-    """Text must be text; a score must be a number without a fraction, as 3 or 3.0."""
-    good = []
-    for field in schema.fields:
-        kind = types[field.name]
-        if isinstance(field, Text):
-            good.append(kind == "STRING")
-        else:
-            number = (kind == "BIGINT") | (kind == "DOUBLE") | (kind == "FLOAT") | kind.startswith("DECIMAL")
-            good.append(number & (values[field.name] % 1 == 0))
-    return ~F.coalesce(reduce(and_, good), F.lit(False))
-
-
-def _is_out_of_range(values: Column, schema: ReplySchema) -> Column:
-    outside = [
-        ~values[f.name].between(f.low, f.high) for f in schema.fields if isinstance(f, Score)
-    ]
-    return reduce(or_, outside, F.lit(False))
+    return F.coalesce(F.array_sort(keys) != F.array(*map(F.lit, sorted(schema.names))), F.lit(True))
+
+
+def _scores(schema: ReplySchema) -> list[Score]:
+    return [field for field in schema.fields if isinstance(field, Score)]
+
+
+def _all_integral(values: Column, schema: ReplySchema) -> Column:
+    """A score is a number without a fraction, as 3 or 3.0."""
+    return reduce(and_, [values[f.name] % 1 == 0 for f in _scores(schema)], F.lit(True))
+
+
+def _all_in_range(values: Column, schema: ReplySchema) -> Column:
+    return reduce(and_, [values[f.name].between(f.low, f.high) for f in _scores(schema)], F.lit(True))
 
 
 def overall_matches(reply: ColumnOrName, left: str, right: str, total: str) -> Column:

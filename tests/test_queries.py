@@ -12,7 +12,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 FOLDER = "/root/testdata/sf0.001"
 WRITING = {
     "model_stage", "verify_report", "verify_verdict", "consolidated_roundtrip", "review_queue", "escalated_in_queue",
-    "quality_statistics", "csv_roundtrip", "stream_ingest", "stream_weekly",
+    "quality_statistics", "stage_join", "csv_roundtrip", "stream_ingest", "stream_weekly",
 }
 
 
