@@ -31,7 +31,6 @@ class Stage:
     """Settings of one stage."""
 
     name: str
-    prompt: str
     template: tuple[str | Ref, ...]
     temperature: float
     max_tokens: int
@@ -44,11 +43,11 @@ class Stage:
 
 # Templates, temperatures, token limits and reply fields of the stages.
 SUMMARISE = Stage(
-    "summarise", "01_summarise_system", ('Ticket: "', Ref("ticket"), '"\nSummary:'), 0.2, 400,
+    "summarise", ('Ticket: "', Ref("ticket"), '"\nSummary:'), 0.2, 400,
     ReplySchema((Text("summary"),)),
 )
 JUDGE_SUMMARY = Stage(
-    "judge_summary", "02_judge_summary_system",
+    "judge_summary", 
     ('Original Ticket: "', Ref("ticket"), '"\nTicket Summary: "', Ref("summary"), '"\nEvaluate the summary.'),
     0.0, 500,
     ReplySchema((
@@ -57,11 +56,11 @@ JUDGE_SUMMARY = Stage(
     )),
 )
 RESPOND = Stage(
-    "respond", "03_respond_system", ('Ticket Summary: "', Ref("summary"), '"'), 0.4, 1500,
+    "respond", ('Ticket Summary: "', Ref("summary"), '"'), 0.4, 1500,
     ReplySchema((Text("response"),)),
 )
 JUDGE_RESPONSE = Stage(
-    "judge_response", "04_judge_response_system",
+    "judge_response", 
     ('Ticket Summary: "', Ref("summary"), '"\nGenerated Response: "', Ref("response"), '"\nEvaluate the response.'),
     0.0, 1200,
     ReplySchema((
@@ -76,8 +75,8 @@ STAGES = [SUMMARISE, JUDGE_SUMMARY, RESPOND, JUDGE_RESPONSE]
 def stage_table(spark: SparkSession) -> DataFrame:
     """The stage settings as rows, for audit next to the results."""
     return spark.createDataFrame(
-        [(s.name, s.prompt, s.temperature, s.max_tokens, s.schema.ddl) for s in STAGES],
-        "stage string, prompt string, temperature double, max_tokens int, reply_fields string",
+        [(s.name, s.temperature, s.max_tokens, s.schema.ddl) for s in STAGES],
+        "stage string, temperature double, max_tokens int, reply_fields string",
     )
 
 
@@ -184,10 +183,10 @@ _STORE_SCHEMA = "request_key string, raw string, error string, stage string"
 
 def system_text(prompts: DataFrame, stage: Stage) -> tuple[str, str]:
     """Instruction text of a stage and its version."""
-    found = prompts.where(F.col("prompt") == stage.prompt).first()
-    if found is None:
-        raise ValueError(f"no prompt named {stage.prompt}")
-    return found["text"], found["version"]
+    found = prompts.where(F.col("stage") == stage.name).take(2)
+    if len(found) != 1:
+        raise ValueError(f"expected one prompt for the stage {stage.name}, found {len(found) or 'none'}")
+    return found[0]["text"], found[0]["version"]
 
 
 def request_key(stage: Stage, version: str, model: str, user_text: ColumnOrName) -> Column:

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replygauge.functions.text import WHITESPACE, ColumnOrName, as_column, timeframes
+from replygauge.functions.text import WHITESPACE, ColumnOrName, as_column, label_by_phrase, timeframes
 
 _POLICY = r"(?m)^(\d+)\. ([^\n]*)\n((?:[-•] [^\n]*\n(?: +[^\n]*\n)*)+)"
 
 
 def load_prompts(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per text file: name, text without trailing whitespace, version hash."""
+    """One row per text file: name, text without trailing whitespace, version hash,
+    and the stage its wording is about."""
     files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
     text = F.rtrim("value", F.lit(WHITESPACE))
     return files.select(
         F.regexp_replace(F.col("_metadata.file_name"), r"\.txt$", "").alias("prompt"),
         text.alias("text"),
-    ).withColumn("version", F.sha2("text", 256))
+    ).withColumns({"version": F.sha2("text", 256), "stage": label_by_phrase("text")})
 
 
 def policy_clauses(texts: DataFrame, key: str, text: str) -> DataFrame:

@@ -13,7 +13,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for text work on a table stored in few pieces.
+    """Use all cores for text work on a plain scan of a table stored in few pieces.
 
     A scan cannot be split below a row group. Where it yields at most half as many
     tasks as there are cores, the rows are dealt out evenly; a table large enough

@@ -110,12 +110,13 @@ HOW TO WRITE
 
 def test_prompts_and_clauses(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes((WRITER + " \n\n").encode())
-    (tmp_path / "b.txt").write_text("x\t\n")
+    (tmp_path / "b.txt").write_text("a triage\nanalyst\t\n")
     (tmp_path / "c.md").write_text("ignored")
     loaded = prompts.load_prompts(spark, str(tmp_path))
     found = {r.prompt: r for r in loaded.collect()}
     assert set(found) == {"a", "b"}
-    assert found["b"].text == "x"
+    assert found["b"].text == "a triage\nanalyst"
+    assert (found["a"].stage, found["b"].stage) == ("unknown", "summarise")
     assert found["a"].text == WRITER.rstrip()
     assert len(found["a"].version) == 64
     clauses = prompts.policy_clauses(loaded, "prompt", "text")

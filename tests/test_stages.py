@@ -26,7 +26,7 @@ def tickets(spark):
 @pytest.fixture
 def prompts(spark):
     return spark.createDataFrame(
-        [(s.prompt, f"You are {s.name}.", "v1") for s in st.STAGES], "prompt string, text string, version string"
+        [(s.name, f"You are {s.name}.", "v1") for s in st.STAGES], "stage string, text string, version string"
     )
 
 
@@ -158,7 +158,7 @@ def test_model_result_used_twice_asks_once(spark, tickets, prompts, tmp_path):
 
 
 def test_unknown_prompt_is_an_error(tickets, prompts, tmp_path):
-    with pytest.raises(ValueError, match="no prompt"):
+    with pytest.raises(ValueError, match="expected one prompt"):
         st.run_model(
             tickets, st.SUMMARISE, st.FIELDS, logging_scorer("x"), st.ReplyStore(str(tmp_path)),
             prompts.where("false"), "m",

@@ -42,5 +42,10 @@ def test_weeks_in_append_and_complete_mode(spark, tmp_path):
     closed = run("append")
     assert "2024-02-12" not in closed
     assert closed.items() <= everything.items()
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert {str(r.week): r.n for r in weekly_stream(events, "ts", F.col("v")).collect()} == everything
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     batch = {str(r.week): r.n for r in weekly_stream(events, "ts", F.col("v")).collect()}
     assert batch == everything
