@@ -134,10 +134,11 @@ def run_rules(df: DataFrame, stage: Stage, fields: Mapping[str, str], scorer: Ru
     stay on the row, named ``__<input>_<feature>``, for the stages that follow.
     """
     subject = stage.inputs[0]
-    features = {f"__{subject}_{name}": c for name, c in scorer.features(F.col(fields[subject])).items()}
-    if not set(features) <= set(df.columns):
-        df = df.withColumns(features)
-    known = {name.removeprefix(f"__{subject}_"): F.col(name) for name in features}
+    prefix = f"__{subject}_"
+    if not any(name.startswith(prefix) for name in df.columns):
+        features = scorer.features(F.col(fields[subject]))
+        df = df.withColumns({prefix + name: feature for name, feature in features.items()})
+    known = {name.removeprefix(prefix): F.col(name) for name in df.columns if name.startswith(prefix)}
     unsent = reduce(or_, [tx.is_blank(fields[name]) for name in stage.inputs])
     raw = f"{stage.name}_raw"
     scored = df.withColumn(raw, F.when(~unsent, scorer.reply(stage, known)))
