@@ -30,6 +30,28 @@ def join_stages(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return unique_by(left, key).join(unique_by(right, key), key, "inner")
 
 
+def join_repeated(
+    left: DataFrame, right: DataFrame, key: str, spread_by: str, *, hot_rows: int = 100_000, parts: int = 64
+) -> DataFrame:
+    """Left join to a side with unique keys, where the left may repeat a key without bound.
+
+    The rows of a hot key are dealt over ``parts`` tasks by the hash of another
+    column, and its one right row is copied to each of them. The result is that of
+    a plain join. Hot are at most the 1000 most frequent keys, so the list that
+    passes the driver is bounded and any other key holds less than a thousandth of
+    the rows.
+    """
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    hot = [row[key] for row in counts.orderBy(F.col("n").desc()).limit(1000).collect()]
+    if not hot:
+        return left.join(right, key, "left")
+    is_hot = F.col(key).isin(hot)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int")).otherwise(0)
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    salted = left.withColumn("__salt", salt)
+    return salted.join(right.withColumn("__salt", F.explode(copies)), [key, "__salt"], "left").drop("__salt")
+
+
 def lost_rows(source: DataFrame, stage: DataFrame, key: str | list[str]) -> DataFrame:
     """Source rows the stage has no row for."""
     return source.join(stage.select(key), key, "left_anti")

@@ -22,6 +22,7 @@ from replygauge.functions import lexicon as lx
 from replygauge.functions import text as tx
 from replygauge.functions.replies import OK, ReplySchema, Score, Text, parse_replies
 from replygauge.functions.text import ColumnOrName, as_column
+from replygauge.operators.joins import join_repeated
 from replygauge.operators.prompting import Ref, assemble_messages, close_prompt, render
 from replygauge.sources.tickets import read_if_present
 
@@ -265,10 +266,11 @@ def run_model(
     prompts: DataFrame,
     model: str,
     partitions: int | None = None,
+    key: str = "support_ticket_id",
 ) -> DataFrame:
     """Run a stage with a model scorer. Adds raw reply, error, class and parsed struct.
 
-    Only keys and messages cross into Python. Replies come from the stored table,
+    ``key`` is a column that tells copies of a text apart. Only request keys and messages cross into Python. Replies come from the stored table,
     so using the result twice does not ask twice.
     """
     raw, error = f"{stage.name}_raw", f"{stage.name}_error"
@@ -276,7 +278,6 @@ def run_model(
     user = close_prompt(render(stage.template, {name: fields[name] for name in stage.inputs}))
     asked = df.withColumn("user_text", user).withColumn("request_key", request_key(stage, version, model, "user_text"))
     replies = store.ask(asked.select("request_key", "user_text"), stage, system, scorer, partitions)
-    joined = asked.join(
-        replies.withColumnsRenamed({"raw": raw, "error": error}), "request_key", "left"
-    ).drop("request_key", "user_text")
+    named = replies.withColumnsRenamed({"raw": raw, "error": error})
+    joined = join_repeated(asked.drop("user_text"), named, "request_key", key).drop("request_key")
     return parse_replies(joined, raw, stage.schema, into=stage.name)

@@ -8,14 +8,19 @@ from pyspark.sql.types import StructType
 from replygauge.sources.tickets import TICKET_COLUMNS, csv_options, text_schema
 
 
-def ingest_new(spark: SparkSession, folder: str, sink: str, checkpoint: str) -> None:
+def ingest_new(
+    spark: SparkSession, folder: str, sink: str, checkpoint: str, max_files: int | None = None
+) -> None:
     """Write the tickets of all files not seen before, then stop.
 
     Each micro-batch owns one folder and overwrites it, so a batch repeated after
     a failure leaves the same rows. Every sink needs a checkpoint of its own.
+    ``max_files`` bounds a batch, so that a long backlog is taken in steps.
     """
-    stream = spark.readStream.options(**csv_options()).schema(text_schema(TICKET_COLUMNS)).csv(folder)
-    run_to_end(stream, sink, checkpoint)
+    reader = spark.readStream.options(**csv_options()).schema(text_schema(TICKET_COLUMNS))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    run_to_end(reader.csv(folder), sink, checkpoint)
 
 
 def run_to_end(stream: DataFrame, sink: str, checkpoint: str, output_mode: str = "append") -> None:

@@ -128,6 +128,25 @@ def test_one_endless_conversation_spreads_over_tasks(spark):
     assert max(r["count"] for r in sizes) < n // 4
 
 
+def test_a_hot_key_is_split_and_the_result_is_that_of_a_plain_join(spark):
+    left = spark.range(4000).selectExpr("cast(id as string) as id", "if(id < 3000, 'hot', concat('k', id)) as k")
+    right = spark.createDataFrame([("hot", 1), ("k3001", 2), ("unused", 3)], "k string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = joins.join_repeated(left, right, "k", "id", hot_rows=1000)
+        assert joined.columns == ["k", "id", "v"]
+        sizes = joined.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 3000
+        assert max(r["count"] for r in sizes) < 1000
+        assert rows(joined.na.fill(0)) == rows(left.join(right, "k", "left").na.fill(0))
+        plain = joins.join_repeated(left, right, "k", "id", hot_rows=10_000)
+        assert rows(plain.na.fill(0)) == rows(joined.na.fill(0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_stage_join_needs_unique_keys(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
     right = spark.createDataFrame([(1, "c")], "k int, y string")

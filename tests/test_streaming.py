@@ -23,6 +23,16 @@ def test_only_new_files_are_ingested(spark, tmp_path):
     assert run() == ["1", "2"]
 
 
+def test_a_backlog_is_taken_in_steps(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        (tmp_path / "in" / f"{i}.csv").write_text(HEADER + f"{i},x\n")
+    sink = tmp_path / "sink"
+    ingest_new(spark, str(tmp_path / "in"), str(sink), str(tmp_path / "check"), max_files=1)
+    assert sorted(p.name for p in sink.iterdir() if p.name.startswith("batch=")) == ["batch=0", "batch=1", "batch=2"]
+    assert spark.read.parquet(str(sink)).count() == 3
+
+
 def test_weeks_in_append_and_complete_mode(spark, tmp_path):
     days = ["2024-01-01", "2024-01-07", "2024-01-08", "2024-01-22", "2024-02-12"]
     events = spark.createDataFrame([(d, 1.0) for d in days], "d string, v double").select(
