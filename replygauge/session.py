@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -28,16 +27,24 @@ def local_session(
     )
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for a table this run writes and reads again.
+def work_root(spark: SparkSession) -> str:
+    """Where tables that a job writes and reads again lie.
 
-    It lies below the shared ``spark.checkpoint.dir`` of the session, so any
-    executor can read what another one wrote. Only a local session without that
-    setting falls back to a temporary folder.
+    The shared ``spark.checkpoint.dir`` of the session; where it is unset, a folder
+    below ``spark.sql.warehouse.dir``, which a cluster puts on shared storage too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="replygauge-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/replygauge_work").rstrip("/")
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below ``work_root``."""
+    return f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> bool:
+    """Delete the default work root once no result is needed any more; a folder the session names is left to its owner."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_root(spark))
+    if root.getName() != "replygauge_work":
+        return False
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
