@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from replygauge.llm import toxicity
 from replygauge.llm.bit_sliced import bit_sliced_topk
+from replygauge.llm.toxicity import score_toxicity
 from replygauge.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,4 +36,10 @@ WITH fine AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-QUERIES |= {f.__name__: f for f in [op2_bit_sliced_topk]}
+
+def op10_levenshtein_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return score_toxicity(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+QUERIES |= {f.__name__: f for f in [op2_bit_sliced_topk, op10_levenshtein_toxicity]}
