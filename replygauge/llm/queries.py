@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from replygauge.llm import toxicity
+from replygauge.llm import language, nbsvm, toxicity
 from replygauge.llm.bit_sliced import bit_sliced_topk
-from replygauge.llm.toxicity import score_toxicity
 from replygauge.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,7 +38,17 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 def op10_levenshtein_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return score_toxicity(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
-QUERIES |= {f.__name__: f for f in [op2_bit_sliced_topk, op10_levenshtein_toxicity]}
+def op4_nb_support_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return nbsvm.score_quality(docs, nbsvm.train(docs, table(spark, folder, "labels")))
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.predict_language(docs, language.train(docs))
+
+
+QUERIES |= {f.__name__: f for f in [op2_bit_sliced_topk, op4_nb_support_vectors, op5_language_id, op10_levenshtein_toxicity]}
