@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from replygauge.llm import language, nbsvm, toxicity
+from replygauge.llm import language, nbsvm, pii, toxicity, warc
 from replygauge.llm.bit_sliced import bit_sliced_topk
 from replygauge.sources.tables import table
 
@@ -51,4 +51,27 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict_language(docs, language.train(docs))
 
 
-QUERIES |= {f.__name__: f for f in [op2_bit_sliced_topk, op4_nb_support_vectors, op5_language_id, op10_levenshtein_toxicity]}
+def op6_warc_zstd(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.roundtrip(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op6_warc_zstd"] = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
+FROM m
+"""
+
+
+def op3_conditional_random_field_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_pii(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+QUERIES |= {f.__name__: f for f in [op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op10_levenshtein_toxicity]}
