@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from replygauge.llm import language, nbsvm, pii, toxicity, warc
+from replygauge.llm import language, nbsvm, packing, pii, toxicity, warc
 from replygauge.llm.bit_sliced import bit_sliced_topk
 from replygauge.sources.tables import table
 
@@ -74,4 +75,18 @@ def op3_conditional_random_field_pii(spark: SparkSession, folder: str) -> DataFr
     return pii.find_pii(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES |= {f.__name__: f for f in [op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op10_levenshtein_toxicity]}
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The vocabulary file; its folder is on the path of every executor or given by TOKENIZER_DIR."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_hierarchical_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+QUERIES |= {f.__name__: f for f in [op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op8_hierarchical_packing, op10_levenshtein_toxicity]}
