@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from replygauge.llm import html, language, nbsvm, packing, pii, toxicity, warc
+from replygauge.llm import decontaminate, html, language, nbsvm, packing, pii, toxicity, warc
 from replygauge.llm.bit_sliced import bit_sliced_topk
 from replygauge.sources.tables import table
 
@@ -93,4 +93,10 @@ def op9_consensus_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract_text(table(spark, folder, "pages").select("page_id", "url", "html"))
 
 
-QUERIES |= {f.__name__: f for f in [op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity]}
+def op1_spaced_seed_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.overlaps(docs, table(spark, folder, "benchmark").select("item_id", "text"))
+    return found.select("doc_id", "item_id", "n_matched", "n_item")
+
+
+QUERIES |= {f.__name__: f for f in [op1_spaced_seed_decontamination, op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity]}
