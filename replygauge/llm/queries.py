@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from replygauge.llm import decontaminate, html, language, nbsvm, packing, pii, toxicity, warc
+from replygauge.llm import decontaminate, html, jaccard, language, nbsvm, packing, pii, toxicity, warc
 from replygauge.llm.bit_sliced import bit_sliced_topk
 from replygauge.sources.tables import table
 
@@ -99,4 +99,8 @@ def op1_spaced_seed_decontamination(spark: SparkSession, folder: str) -> DataFra
     return found.select("doc_id", "item_id", "n_matched", "n_item")
 
 
-QUERIES |= {f.__name__: f for f in [op1_spaced_seed_decontamination, op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity]}
+def op7_count_vector_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_classes(table(spark, folder, "documents").select("doc_id", "text"), n=4, percent=85)
+
+
+QUERIES |= {f.__name__: f for f in [op1_spaced_seed_decontamination, op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op7_count_vector_join, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity]}
