@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replygauge.llm.arrays import slices
-from replygauge.llm.common import bounded_sample, remainder, remainder_of
+from replygauge.llm.common import bounded_sample, remainder, remainder_of, written
 
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 #: Words to the left and right that are searched for signs of quotation.
@@ -249,8 +249,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
         labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1))
         .groupBy("doc_id").agg(F.max("y").alias("y")).where(remainder("doc_id", 5) != 0)
     )
-    picked = bounded_sample(known, "doc_id", "y", per_class)
-    sample = docs.select("doc_id", "text").join(picked, "doc_id")
+    # its size is bounded by per_class, so the texts need not be shuffled to meet it
+    picked = F.broadcast(bounded_sample(known, "doc_id", "y", per_class))
+    sample = written(docs.select("doc_id", "text").join(picked, "doc_id"), "toxicity-sample")
     found = lexicon(sample, "text", "y", entries)
     model = Model(Automaton.build(found), np.ones(2 * len(found)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
