@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from replygauge.llm.common import written
 
-#: 1: compared, 0: ignored. Together they hit every overlap of 13 words with up to two substitutions.
-MASKS = ("111011", "1100111")
+#: 1: compared, 0: ignored. Together they hit every overlap of 11 words with up to two substitutions. A best stretch
+#: holds its third disagreement behind 13 agreeing words at the earliest, so that no stretch of 11 words is missed.
+MASKS = ("110111", "11001011")
 #: Agreeing words that make an overlap, or four fifths of a shorter item.
 LEAST = 10
 #: A disagreement outweighs so many agreeing words.

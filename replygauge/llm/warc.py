@@ -239,7 +239,7 @@ def save_files(spark: SparkSession, archives: DataFrame, folder: str) -> None:
         store, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
         for batch in batches:
             for name, content in zip(batch["archive"].to_pylist(), batch["content"], strict=True):
-                with store.open_output_stream(f"{root}/{name}") as out:
+                with store.open_output_stream(f"{root}/{name}", compression=None) as out:
                     out.write(content.as_buffer())
                 yield pa.RecordBatch.from_arrays([pa.array([name])], ["archive"])
 
