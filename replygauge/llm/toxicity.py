@@ -25,6 +25,8 @@ from replygauge.llm.arrays import slices
 from replygauge.llm.common import bounded_sample, remainder, remainder_of, written
 
 STEM_LENGTHS = (4, 5, 6, 7, 8)
+#: Least log-likelihood ratio of an entry: about one chance in a million.
+SURPRISE = 24.0
 #: Words to the left and right that are searched for signs of quotation.
 WINDOW = 6
 #: Quotation marks, and verbs of reporting in four languages (fixed values).
@@ -217,14 +219,16 @@ def lexicon(sample: DataFrame, text: str, label: str, most: int) -> list[tuple[s
     bad, good = int(totals[0] or 0), int(totals[1] or 0)
     if not bad:
         return []
-    least = max(2, math.ceil(0.004 * bad))
+    share = bad / (bad + good)
+    n, b = F.col("bad") + F.col("good"), F.col("bad").cast("double")
+    # twice the log-likelihood ratio against an entry that is as frequent in both classes
+    surprise = 2 * (b * F.log(b / (n * share)) + F.when(F.col("good") > 0, F.col("good") * F.log(F.col("good") / (n * (1 - share)))).otherwise(0.0))
     counts = (
         rows.select("y", F.explode(entries).alias("x")).groupBy("x.e", "x.stem")
         .agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
-        .where((F.col("bad") >= least) & (F.col("bad") * max(good, 1) > 6 * (F.col("good") + 0.5) * bad))
+        .where((F.col("bad") * max(good, 1) > 6 * F.col("good") * bad) & (surprise > SURPRISE))
     )
-    odds = F.log((F.col("bad") + 0.1) / (F.col("good") + 0.5))
-    best = counts.orderBy(F.desc(F.col("bad") * odds), "e", "stem").limit(8 * most).collect()
+    best = counts.orderBy(F.desc(surprise), "e", "stem").limit(8 * most).collect()
     chosen: list[tuple[str, bool]] = []
     taken: dict[str, tuple[int, int]] = {}
     for r in best:
@@ -274,9 +278,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     for r in rows:
         for kind in {h // 2 for h in r.hits}:
             seen[r.y, kind] += 1
-    model.weights = np.clip(np.log((seen[1] + 0.2) / (bad + 1)) - np.log((seen[0] + 0.2) / (good + 1)), 0, 9)
-    for kind in np.flatnonzero(seen.sum(0) == 0):  # a misspelling that no other text has by chance
-        model.weights[kind] = 0.8 * model.weights[kind - kind % 2]
+    prior = np.tile([0.2, 1.0], len(found))
+    model.weights = np.clip(np.log((seen[1] + prior) / (bad + 1)) - np.log((seen[0] + prior) / (good + 1)), 0, 9)
+    for kind in range(1, len(model.weights), 2):
+        most = 0.8 * model.weights[kind - 1]  # a misspelling says less than the word itself
+        model.weights[kind] = min(most, model.weights[kind]) if seen[0, kind] else most
     x = np.zeros((len(rows), 3))
     x[:, 2] = 1
     for i, r in enumerate(rows):
