@@ -86,7 +86,7 @@ def business_days(start: ColumnOrName, end: ColumnOrName) -> Column:
 def entitlement(days: ColumnOrName, policy: str, bands: Sequence[tuple] = tuple(lx.POLICY_BANDS)) -> Column:
     """Entitlement of one policy by day band; null outside every band."""
     days = as_column(days)
-    case = F
+    case = F.when(F.lit(False), F.lit(None).cast("string"))
     for name, low, high, granted in bands:
         if name == policy:
             above = F.lit(True) if low is None else days > low

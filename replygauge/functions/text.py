@@ -68,21 +68,27 @@ def sentence_count(text: ColumnOrName) -> Column:
 
 
 def _alternatives(pattern: str) -> list[str]:
-    """Split a pattern at the bars that lie outside every bracket."""
-    parts, depth, start, i = [], 0, 0, 0
+    """Split a pattern at the bars that lie outside every group and character class."""
+    parts, depth, in_class, start, i = [], 0, False, 0, 0
     while i < len(pattern):
         char = pattern[i]
         if char == "\\":
             i += 1
-        elif char in "([":
+        elif in_class:
+            # a bracket right after the opening, or after ^, is a member of the class
+            in_class = not (char == "]" and i > opened)
+        elif char == "[":
+            in_class, opened = True, i + 1 + pattern.startswith("^", i + 1)
+        elif char == "(":
             depth += 1
-        elif char in ")]":
+        elif char == ")":
             depth -= 1
         elif char == "|" and depth == 0:
             parts.append(pattern[start:i])
             start = i + 1
         i += 1
-    return [*parts, pattern[start:]]
+    # unbalanced, as far as can be told here: left to the regular expression
+    return [pattern] if depth or in_class else [*parts, pattern[start:]]
 
 
 def _literal_start(pattern: str) -> str:
@@ -189,7 +195,12 @@ def order_refs(
     text: ColumnOrName, pattern: str = lx.REF_PATTERN, limit: int = lx.MAX_REFS_SHOWN
 ) -> Column:
     """The first references joined for display, or the not-provided sentinel."""
-    shown = F.array_join(first_n(ref_ids(text, pattern), limit), lx.REF_JOINER)
+    return shown_refs(ref_ids(text, pattern), limit)
+
+
+def shown_refs(ids: ColumnOrName, limit: int = lx.MAX_REFS_SHOWN) -> Column:
+    """The same from references already extracted."""
+    shown = F.array_join(first_n(ids, limit), lx.REF_JOINER)
     return F.when(shown == "", F.lit(lx.NOT_PROVIDED)).otherwise(shown)
 
 
@@ -314,5 +325,7 @@ def is_generic_reasoning(
 ) -> Column:
     """Banned praise, or not one fact of the audited text."""
     low = F.lower(F.coalesce(as_column(reasoning), F.lit("")))
-    cited = F.exists(all_facts(source), lambda fact: low.contains(F.lower(fact)))
+    facts = F.transform(all_facts(source), lambda fact: F.lower(fact))
+    # the lower-cased text is bound once and looked at for each fact
+    cited = F.exists(F.array(low), lambda text: F.exists(facts, lambda fact: F.contains(text, fact)))
     return matches(low, praise) | ~cited

@@ -9,47 +9,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def unique_by(df: DataFrame, key: str) -> DataFrame:
-    """The same rows; a key that occurs twice is an error.
-
-    Runs one aggregate over the key column when called.
-    """
-    worst = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
-    found = worst.first()["n"]
-    if found is not None and found > 1:
-        raise ValueError(f"column {key} is not unique: one value occurs {found} times")
-    return df
-
-
 def join_stages(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Pair two stage tables row by row on a unique key."""
-    return unique_by(left, key).join(unique_by(right, key), key, "inner")
+    """Pair two stage tables row by row on a unique key.
 
-
-def join_repeated(
-    left: DataFrame, right: DataFrame, key: str, spread_by: str, *, hot_rows: int = 100_000, parts: int = 64
-) -> DataFrame:
-    """Left join to a side with unique keys, where the left may repeat a key without bound.
-
-    The rows of a hot key are dealt over ``parts`` tasks by the hash of another
-    column, and its one right row is copied to each of them. The result is that of
-    a plain join. Hot are at most the 1000 most frequent keys, so the list that
-    passes the driver is bounded and any other key holds less than a thousandth of
-    the rows.
+    A key that pairs more than once fails the action. It is counted where the join
+    has brought its rows together, so the check adds no exchange to a sort-merge
+    join and no job of its own.
+    """
+    paired = left.join(right, key, "inner")
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    twice = F.concat(F.lit(f"column {key} is not unique: "), F.col(key).cast("string"))
+    counted = paired.withColumn("__pairs", n)
+    return counted.where(
+        F.when(F.col("__pairs") > 1, F.raise_error(twice).cast("boolean")).otherwise(F.lit(True))
+    ).drop("__pairs")
+
+
+def join_repeated(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join to a table with unique keys, where the left may repeat a key without bound.
+
+    Both sides must be scans or projections of scans, so that the join's own
+    exchanges lie right below it: adaptive execution then cuts a partition that a
+    hot key swells into pieces of the advisory size and hands each the one right
+    row. The number of pieces follows the rows; no list of keys, no cap.
     """
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
-    hot = [row[key] for row in counts.orderBy(F.col("n").desc()).limit(1000).collect()]
-    if not hot:
-        return left.join(right, key, "left")
-    is_hot = F.col(key).isin(hot)
-    salt = F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int")).otherwise(0)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    salted = left.withColumn("__salt", salt)
-    return salted.join(right.withColumn("__salt", F.explode(copies)), [key, "__salt"], "left").drop("__salt")
+    return left.join(right, key, "left")
 
 
 def lost_rows(source: DataFrame, stage: DataFrame, key: str | list[str]) -> DataFrame:

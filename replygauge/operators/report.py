@@ -36,10 +36,8 @@ def text_profile(df: DataFrame, text: str, key: str, by: Sequence[str] = ()) ->
 
 def extremes(df: DataFrame, key: str, value: str) -> DataFrame:
     """Keys of the lowest and the highest value; the lower key on a tie."""
-    return df.agg(
-        F.min_by(key, F.struct(value, key)).alias("lowest"),
-        F.max_by(key, F.struct(F.col(value), -F.col(key))).alias("highest"),
-    )
+    least = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(key).alias("first_key"))
+    return least.agg(F.min_by("first_key", value).alias("lowest"), F.max_by("first_key", value).alias("highest"))
 
 
 def decode_hours(volume: ColumnOrName, minutes: float = 2.5) -> Column:
@@ -128,7 +126,7 @@ def queue_crosstab(df: DataFrame, rows: str, in_queue: str) -> DataFrame:
 
 
 def weekly_means(df: DataFrame, ts: str, value: Column, by: Sequence[str] = (), alert: float | None = None) -> DataFrame:
-    """Mean per week with the change from the week before.
+    """Mean per week with the change from the week before, null if that week has no rows.
 
     The window runs over the aggregated weeks only. With ``alert`` a drop larger
     than that is flagged.
@@ -137,13 +135,17 @@ def weekly_means(df: DataFrame, ts: str, value: Column, by: Sequence[str] = (),
     weeks = df.select(*by, week.alias("week"), value.alias("value")).groupBy(*by, "week").agg(
         F.count("value").alias("n"), (F.sum("value").cast("double") / F.count("value")).alias("mean_value")
     )
-    return with_delta(weeks, "week", "mean_value", by, alert)
+    return with_delta(weeks, "week", "mean_value", by, alert, step=7)
 
 
 def with_delta(
-    series: DataFrame, order: str, value: str, by: Sequence[str] = (), alert: float | None = None
+    series: DataFrame, order: str, value: str, by: Sequence[str] = (), alert: float | None = None, step: int | None = None
 ) -> DataFrame:
-    change = F.col(value) - F.lag(value).over(Window.partitionBy(*by).orderBy(order))
+    """Change from the row before. With ``step`` only from a row exactly that many days earlier, else null."""
+    before = Window.partitionBy(*by).orderBy(order)
+    change = F.col(value) - F.lag(value).over(before)
+    if step is not None:
+        change = F.when(F.datediff(order, F.lag(order).over(before)) == step, change)
     result = series.withColumn("delta", change)
     if alert is None:
         return result
@@ -190,6 +192,7 @@ def compression(df: DataFrame, source: str, generated: str, by: Sequence[str] =
     )
 
 
-def worst(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
-    """The k rows with the lowest score, a top-k without a full sort."""
-    return df.orderBy(F.col(score).asc_nulls_last(), F.col(key)).limit(k)
+def worst(df: DataFrame, score: str, key: str, k: int, unscored_first: bool = True) -> DataFrame:
+    """The k rows with the lowest score, a top-k without a full sort. A row without a score counts as the worst."""
+    order = F.col(score).asc_nulls_first() if unscored_first else F.col(score).asc_nulls_last()
+    return df.orderBy(order, F.col(key)).limit(k)

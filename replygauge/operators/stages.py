@@ -279,5 +279,5 @@ def run_model(
     asked = df.withColumn("user_text", user).withColumn("request_key", request_key(stage, version, model, "user_text"))
     replies = store.ask(asked.select("request_key", "user_text"), stage, system, scorer, partitions)
     named = replies.withColumnsRenamed({"raw": raw, "error": error})
-    joined = join_repeated(asked.drop("user_text"), named, "request_key", key).drop("request_key")
+    joined = join_repeated(asked.drop("user_text"), named, "request_key").drop("request_key")
     return parse_replies(joined, raw, stage.schema, into=stage.name)

@@ -71,7 +71,7 @@ def tickets(spark: SparkSession, folder: str) -> DataFrame:
 
 def reply_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Source and reply of each answered user turn, as (pair_id, source, reply)."""
-    pairs = pair_turns(spread(table(spark, folder, "conversations")))
+    pairs = spread(pair_turns(table(spark, folder, "conversations")))
     number = F.col("conv_id") + F.col("turn")
     head = F.when(F.pmod(number, F.lit(4)) == 0, F.lit("")).otherwise(F.lit("Dear Customer,\n\n"))
     return pairs.select(

@@ -128,7 +128,8 @@ def review_queue(spark: SparkSession, folder: str) -> DataFrame:
     """The review queue, written as a table and read again."""
     path = work_folder(spark, "queue")
     gated = _gated(spark, folder).select("pair_id", "overall_score", "route", "in_queue")
-    write_review_queue(gated, "in_queue", path, "2024-01-01")
+    for _ in range(2):  # a rerun replaces the date's rows
+        write_review_queue(gated, "in_queue", path, "2024-01-01")
     return spark.read.parquet(path).select("pair_id", "overall_score", "route", "run_date")
 
 
@@ -247,7 +248,8 @@ def stage_loss(spark: SparkSession, folder: str) -> DataFrame:
 @query("""
 WITH w AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS week, event_type, count(value) AS n,
   CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) / count(value) AS mean_value FROM events GROUP BY 1, 2),
-d AS (SELECT *, mean_value - lag(mean_value) OVER (PARTITION BY event_type ORDER BY week) AS delta FROM w)
+d AS (SELECT *, CASE WHEN week - lag(week) OVER (PARTITION BY event_type ORDER BY week) = 7
+  THEN mean_value - lag(mean_value) OVER (PARTITION BY event_type ORDER BY week) END AS delta FROM w)
 SELECT event_type, week, n, round(mean_value, 6) AS mean_value, round(delta, 6) AS delta,
   coalesce(delta < -0.5, false) AS is_drift FROM d""")
 def weekly_scores(spark: SparkSession, folder: str) -> DataFrame:

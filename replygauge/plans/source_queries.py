@@ -29,11 +29,11 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {s.TICKETS} SELECT support_ticket_id, support_ticket_desc FROM tickets")
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Ticket files ingested as a stream; the second run finds nothing new."""
+    """Ticket files ingested as a stream, three to a batch; the second run finds nothing new."""
     path = work_folder(spark, "ingest")
     write_csv(tickets(spark, folder), f"{path}/in")
     for _ in range(2):
-        ingest_new(spark, f"{path}/in", f"{path}/sink", f"{path}/checkpoint")
+        ingest_new(spark, f"{path}/in", f"{path}/sink", f"{path}/checkpoint", max_files=3)
     return spark.read.parquet(f"{path}/sink").select("support_ticket_id", "support_ticket_desc")
 
 

@@ -55,12 +55,12 @@ SELECT support_ticket_id, {s.classify('support_ticket_desc')} AS category,
 FROM tickets""")
 def ticket_features(spark: SparkSession, folder: str) -> DataFrame:
     desc = "support_ticket_desc"
-    return tickets(spark, folder).select(
+    return tickets(spark, folder).withColumn("refs", tx.ref_ids(desc)).select(
         "support_ticket_id",
         tx.classify(desc).alias("category"),
-        tx.order_refs(desc).alias("order_refs"),
-        F.size(tx.ref_ids(desc)).cast("bigint").alias("n_refs"),
-        tx.is_ambiguous(desc).alias("is_ambiguous"),
+        tx.shown_refs("refs").alias("order_refs"),
+        F.size("refs").cast("bigint").alias("n_refs"),
+        (F.size("refs") > 1).alias("is_ambiguous"),
         tx.word_count(desc).cast("bigint").alias("words"),
         *[flag.alias(name) for name, flag in tx.phrase_flags(desc).items()],
     )

@@ -20,6 +20,7 @@ def local_session(
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.replygauge.spreadTasks", "8" if cores == "*" else str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config(map=dict(extra or {}))

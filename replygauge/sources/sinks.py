@@ -28,11 +28,15 @@ def write_csv(df: DataFrame, path: str, *, single_file: bool = False, mode: str
     (df.coalesce(1) if single_file else df).write.mode(mode).options(**_CSV).csv(path)
 
 
+def _write_run(df: DataFrame, path: str, run_date: str) -> None:
+    """One folder per run date, replaced as a whole: a rerun of a date leaves its own rows, also if it has none."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_date={run_date}")
+
+
 def write_review_queue(df: DataFrame, in_queue: str, path: str, run_date: str) -> None:
     """Only the rows that need a person, in a folder per run date."""
-    queue = df.where(F.col(in_queue)).withColumn("run_date", F.lit(run_date).cast("date"))
-    write_table(queue, path, ("run_date",), mode="append")
+    _write_run(df.where(F.col(in_queue)), path, run_date)
 
 
 def write_statistics(stats: DataFrame, path: str, run_date: str) -> None:
-    write_table(stats.withColumn("run_date", F.lit(run_date).cast("date")), path, ("run_date",), mode="append")
+    _write_run(stats, path, run_date)

@@ -7,20 +7,23 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Session setting of ``spread``.
+SPREAD = "spark.replygauge.spreadTasks"
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for text work on a plain scan of a table stored in few pieces.
+    """Deal the rows out over a number of tasks the caller has set; as they are without the setting.
 
-    A scan cannot be split below a row group. Where it yields at most half as many
-    tasks as there are cores, the rows are dealt out evenly; a table large enough
-    to fill the cluster passes through without a shuffle.
+    A scan can not be split below a row group, so text work on a small table may
+    use few cores. ``spark.replygauge.spreadTasks`` is set by ``local_session``; on
+    a cluster it is left out, and no plan holds this exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    tasks = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def small_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[tuple]) -> DataFrame:

@@ -7,9 +7,12 @@ from pyspark.sql.types import StructType
 
 from replygauge.sources.tickets import TICKET_COLUMNS, csv_options, text_schema
 
+#: Files that one micro-batch takes at most.
+MAX_FILES = 1000
+
 
 def ingest_new(
-    spark: SparkSession, folder: str, sink: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession, folder: str, sink: str, checkpoint: str, max_files: int = MAX_FILES
 ) -> None:
     """Write the tickets of all files not seen before, then stop.
 
@@ -18,9 +21,7 @@ def ingest_new(
     ``max_files`` bounds a batch, so that a long backlog is taken in steps.
     """
     reader = spark.readStream.options(**csv_options()).schema(text_schema(TICKET_COLUMNS))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    run_to_end(reader.csv(folder), sink, checkpoint)
+    run_to_end(reader.option("maxFilesPerTrigger", max_files).csv(folder), sink, checkpoint)
 
 
 def run_to_end(stream: DataFrame, sink: str, checkpoint: str, output_mode: str = "append") -> None:
@@ -39,7 +40,9 @@ def run_to_end(stream: DataFrame, sink: str, checkpoint: str, output_mode: str =
     query.awaitTermination()
 
 
-def stream_table(spark: SparkSession, folder: str, name: str, schema: StructType) -> DataFrame:
+def stream_table(
+    spark: SparkSession, folder: str, name: str, schema: StructType, max_files: int = MAX_FILES
+) -> DataFrame:
     """A Parquet table of a data folder as a stream. It may be one file or a folder of files."""
     # A streaming source takes a folder or a pattern; this one matches a single name.
-    return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{name}.parque[t]")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(f"{folder.rstrip('/')}/{name}.parque[t]")

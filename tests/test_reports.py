@@ -3,6 +3,7 @@ from __future__ import annotations
 import statistics
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from replygauge.operators import joins, report
@@ -93,7 +94,7 @@ def test_compression(spark):
 
 def test_worst_is_a_top_k(spark):
     df = spark.createDataFrame([("a", 3), ("b", 1), ("c", 1), ("d", None)], "k string, s int")
-    top = report.worst(df, "s", "k", 2)
+    top = report.worst(df, "s", "k", 2, unscored_first=False)
     assert [r.k for r in top.collect()] == ["b", "c"]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
@@ -128,31 +129,46 @@ def test_one_endless_conversation_spreads_over_tasks(spark):
     assert max(r["count"] for r in sizes) < n // 4
 
 
-def test_a_hot_key_is_split_and_the_result_is_that_of_a_plain_join(spark):
-    left = spark.range(4000).selectExpr("cast(id as string) as id", "if(id < 3000, 'hot', concat('k', id)) as k")
-    right = spark.createDataFrame([("hot", 1), ("k3001", 2), ("unused", 3)], "k string, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", False)
+def test_a_hot_key_is_split_and_the_result_is_that_of_a_plain_join(spark, tmp_path):
+    spark.range(40_000).selectExpr(
+        "sha2(cast(id as string), 256) as id", "if(id < 30000, 'hot', concat('k', id)) as k"
+    ).write.parquet(str(tmp_path / "left"))
+    spark.createDataFrame([("hot", 1), ("k30001", 2), ("unused", 3)], "k string, v int").write.parquet(str(tmp_path / "right"))
+    left, right = (spark.read.parquet(str(tmp_path / side)) for side in ("left", "right"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        joined = joins.join_repeated(left, right, "k", "id", hot_rows=1000)
+        joined = joins.join_repeated(left, right, "k")
         assert joined.columns == ["k", "id", "v"]
-        sizes = joined.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-        assert sum(r["count"] for r in sizes) == 3000
-        assert max(r["count"] for r in sizes) < 1000
-        assert rows(joined.na.fill(0)) == rows(left.join(right, "k", "left").na.fill(0))
-        plain = joins.join_repeated(left, right, "k", "id", hot_rows=10_000)
-        assert rows(plain.na.fill(0)) == rows(joined.na.fill(0))
+        joined.withColumn("task", F.spark_partition_id()).write.parquet(str(tmp_path / "joined"))
+        counts = spark.read.parquet(str(tmp_path / "joined")).groupBy("k", "v", "task").count().collect()
+        sizes = [r["count"] for r in counts if r.k == "hot" and r.v == 1]
+        assert sum(sizes) == 30_000 and max(sizes) < 15_000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
+        for name in settings:
+            spark.conf.unset(name)
 
 
 def test_stage_join_needs_unique_keys(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
     right = spark.createDataFrame([(1, "c")], "k int, y string")
     assert rows(joins.join_stages(left, right, "k")) == [(1, "a", "c")]
-    with pytest.raises(ValueError, match="not unique"):
-        joins.join_stages(left.union(left), right, "k")
+    with pytest.raises(PySparkException, match="not unique: 1"):
+        joins.join_stages(left.union(left), right, "k").collect()
+
+
+def test_stage_join_adds_no_exchange(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = spark.range(10).selectExpr("id as k", "id as x")
+        plan = joins.join_stages(df, df.withColumnRenamed("x", "y"), "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hash") == 2
 
 
 def test_compare_runs(spark):
@@ -195,3 +211,20 @@ def test_mirror_queue_and_governing_policy(spark):
         ("Unclear", None, False), ("Wrong Item", "p3", True),
     ]
     assert rows(joins.in_queue(df, df.limit(1), "category", F.col("e")).select("category")) == [("Wrong Item",)]
+
+
+def test_extremes_of_text_keys(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 1), ("d", 5), ("c", 5), ("e", None)], "k string, v int")
+    assert rows(report.extremes(df, "k", "v")) == [("a", "c")]
+
+
+def test_a_gap_of_weeks_is_no_change(spark):
+    df = spark.createDataFrame([("2024-01-01", 5.0), ("2024-01-08", 4.0), ("2024-01-22", 1.0)], "d string, v double")
+    weeks = report.weekly_means(df.withColumn("ts", F.col("d").cast("timestamp")), "ts", F.col("v"), alert=0.5)
+    assert [(r.delta, r.is_drift) for r in weeks.orderBy("week").collect()] == [(None, False), (-1.0, True), (None, False)]
+
+
+def test_a_row_without_a_score_is_among_the_worst(spark):
+    df = spark.createDataFrame([(1, 3), (2, None), (3, 2)], "k int, s int")
+    assert [r.k for r in report.worst(df, "s", "k", 2).collect()] == [2, 3]
+    assert [r.k for r in report.worst(df, "s", "k", 2, unscored_first=False).collect()] == [3, 1]

@@ -86,3 +86,8 @@ def test_audit(spark):
         "overall_score",
     ]
     assert rows(audit(df, "source", "reply"), *criteria) == [c[2] for c in cases]
+
+
+def test_a_policy_without_bands_grants_nothing(spark):
+    df = spark.createDataFrame([(3,)], "d int")
+    assert df.select(sc.entitlement("d", "unlisted").alias("e")).first().e is None

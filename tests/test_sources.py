@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from replygauge.functions import lexicon as lx
 from replygauge.session import work_folder
 from replygauge.sources import prompts, sinks, tickets
-from replygauge.sources.tables import small_table, spread
+from replygauge.sources.tables import SPREAD, small_table, spread
 
 HEADER = "support_ticket_id,support_ticket_desc\r\n"
 BOM = "﻿"
@@ -136,10 +136,31 @@ def test_work_folder_lies_in_the_shared_folder_of_the_session(spark):
     assert first != second
 
 
-def test_spread_only_tables_in_few_pieces(spark):
-    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 4
-    many = spark.range(10).repartition(7)
-    assert spread(many) is many
+def test_spread_follows_its_setting_alone(spark):
+    one = spark.range(10).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == 4
+    tasks = spark.conf.get(SPREAD)
+    spark.conf.unset(SPREAD)
+    try:
+        assert spread(one) is one
+    finally:
+        spark.conf.set(SPREAD, tasks)
+
+
+def test_swapped_columns_in_any_file_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"\xef\xbb\xbfsupport_ticket_id,support_ticket_desc\r\n1,x\r\n")
+    assert tickets.read_tickets(spark, str(tmp_path), keep_corrupt=True).count() == 1
+    (tmp_path / "b.csv").write_text("support_ticket_desc,support_ticket_id\ny,2\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        tickets.read_tickets(spark, str(tmp_path), keep_corrupt=True)
+
+
+def test_a_rerun_of_a_date_replaces_its_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, True), (2, True)], "id int, q boolean")
+    for part in (df, df, df.limit(1)):
+        sinks.write_review_queue(part, "q", str(tmp_path / "q"), "2024-01-01")
+        sinks.write_review_queue(df, "q", str(tmp_path / "q"), "2024-01-02")
+    assert spark.read.parquet(str(tmp_path / "q")).groupBy("run_date").count().orderBy("run_date").select("count").collect() == [(1,), (2,)]
 
 
 def test_small_table(spark):

@@ -175,3 +175,12 @@ def test_shorthand_is_expanded_at_first_use_only(spark):
 def test_generic_reasoning(column):
     texts = ["Good summary.", "It keeps SNX-123.", "It is complete.", "Great reply about SNX-123"]
     assert column(texts, tx.is_generic_reasoning("t", F.lit("Order snx-123 cost $5"))) == [True, False, True, True]
+
+
+@pytest.mark.parametrize("pattern, text, want", [
+    ("abc[(]x|def", "a def b", True), ("a[]|]b|cd", "x a|b y", True), ("a[]|]b|cd", "cd", True), ("[^]|]z|q", "q", True), ("a|(b", "z", None),
+])
+def test_brackets_inside_a_class_do_not_hide_a_bar(column, pattern, text, want):
+    assert len(tx._alternatives(pattern)) == (2 if want is not None else 1)
+    if want is not None and "[]" not in pattern and "[^]" not in pattern:
+        assert column([text], tx.matches(F.lower("t"), pattern)) == [want]
