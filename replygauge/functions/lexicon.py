@@ -142,12 +142,47 @@ RESOLUTIONS = [
     (r"escalat|supervisor", "escalation"),
 ]
 
+# Numbers in words, as they stand in time spans.
+NUMBER_WORDS = {
+    "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8",
+    "nine": "9", "ten": "10", "eleven": "11", "twelve": "12", "thirteen": "13", "fourteen": "14", "fifteen": "15",
+    "sixteen": "16", "seventeen": "17", "eighteen": "18", "nineteen": "19", "twenty": "20", "thirty": "30",
+    "forty": "40", "fifty": "50", "sixty": "60", "seventy": "70", "eighty": "80", "ninety": "90",
+}
+# Counts without a number. No policy grants such a span.
+VAGUE_COUNTS = "few|several|couple of|(?<=within |after |in |for )an?"
+
+# Units of time and their short forms.
+TIME_UNITS = {
+    "minute": "minutes?|mins?", "hour": "hours?|hrs?", "day": "days?", "week": "weeks?|wks?",
+    "month": "months?", "year": "years?|yrs?",
+}
+
+# Months in full and their abbreviations.
+MONTHS = (
+    "january|february|march|april|may|june|july|august|september|october|november|december|"
+    "jan|feb|mar|apr|jun|jul|aug|sept|sep|oct|nov|dec"
+)
+
 # What a reply must not say, by code.
 PROHIBITED = [
     (r"attorney|lawsuit|legal action|better business bureau|consumer protection", "LEGAL_THREAT"),
     (r"policy (number|no\.?) ?\d|policy \d", "POLICY_NUMBER"),
     (r"generated automatically|automatically generated|automated (reply|response)|language model", "AUTOMATION"),
+    (r"(your|courier's|driver's|colleague's) (own )?(fault|mistake)|(you|courier|driver|colleague) (is|are|was|were) to blame", "BLAME"),
+    (r"(warehouse|billing|fraud|logistics|fulfilment|finance) (team|department)|internal team", "INTERNAL_TEAM"),
+    (r"system prompt|my instructions|instruction text", "INSTRUCTIONS"),
+]
+
+# Details a reply can ask for, and how many it may ask for at once.
+DETAILS = [
+    (r"order (number|reference)", "order reference"),
+    (r"transaction reference", "transaction reference"),
+    (r"photograph", "photograph"),
+    (r"delivery address", "address"),
+    (r"phone number", "phone number"),
 ]
+MAX_DETAILS = 3
 
 # A reply that asks for what it needs.
 DETAIL_REQUEST = (
@@ -158,9 +193,13 @@ DETAIL_REQUEST = (
 GENERIC_PRAISE = r"good summary|captures the key points|great reply|looks fine|well written"
 
 # Facts an agent needs, one pattern per kind, matched on lower-cased text.
+_NUMBER = r"\d+(?:[.,]\d+)*"
 FACT_PATTERNS = {
-    "amounts": r"(?:rs\.? ?|[$€£])\d+(?:[.,]\d+)*",
-    "dates": r"\d{4}-\d{2}-\d{2}|\d{1,2}(?:st|nd|rd|th)|(?:j(?:an|u[nl])|feb|ma[ry]|a(?:pr|ug)|sep|oct|nov|dec)[a-z]* \d{1,2}",
-    "waits": r"\d+ (?:hour|day|week|month)s?",
+    "amounts": rf"(?:(?:\brs\.?|\binr|\busd|\beur) ?|[$€£₹] ?){_NUMBER}|\b{_NUMBER} ?(?:rupees|dollars|euros|pounds|inr|usd|eur)\b",
+    "dates": (
+        rf"\b\d{{4}}-\d{{2}}-\d{{2}}\b|\b\d{{1,2}}(?:st|nd|rd|th)? (?:of )?(?:{MONTHS})\b(?:,? \d{{4}}\b)?"
+        rf"|\b(?:{MONTHS})\.? \d{{1,2}}(?:st|nd|rd|th)?\b(?:,? \d{{4}}\b)?|\b\d{{1,2}}(?:st|nd|rd|th)\b"
+    ),
+    "waits": rf"\b(?:{_NUMBER}|{'|'.join(NUMBER_WORDS)})\s(?:{'|'.join(TIME_UNITS.values())})\b",
     "transactions": r"txn-?\d{4,}",
 }

@@ -219,18 +219,26 @@ def is_ambiguous(text: ColumnOrName, pattern: str = lx.REF_PATTERN) -> Column:
 
 # -- facts and time spans ---------------------------------------------------
 
-TIMEFRAME = r"\d+(?: ?(?:to|-) ?\d+)? ?(?:business )?(?:day|hour|week)s?"
+_COUNT = rf"(?:\d+(?:[.,]\d+)?|{'|'.join(lx.NUMBER_WORDS)}|{lx.VAGUE_COUNTS})"
+TIMEFRAME = (
+    rf"(?<![\d.,a-z]){_COUNT}(?:\s*(?:to|or|-|–)\s*{_COUNT})?[\s-]*(?:(?:business|working|calendar)\s+)?"
+    rf"(?:{'|'.join(lx.TIME_UNITS.values())})(?![a-z])"
+)
 
 
 def timeframes(text: ColumnOrName, pattern: str = TIMEFRAME) -> Column:
-    """Time spans of a text, normalised: ``5 to 7 business days`` is ``5-7 business day``."""
+    """Time spans of a text, normalised: ``five to 7 working days`` is ``5-7 business day``."""
     low = F.lower(F.coalesce(as_column(text), F.lit("")))
     found = F.regexp_extract_all(low, F.lit(pattern), F.lit(0))
 
     def normalise(span: Column) -> Column:
-        span = F.regexp_replace(span, r" ?(to|-) ?", "-")
-        span = F.regexp_replace(span, r"s$", "")
-        return F.regexp_replace(span, r"(\d)([a-z])", r"$1 $2")
+        span = F.regexp_replace(span, r"\s*(\bto\b|\bor\b|-|–)\s*(?=[\dotfsent])", "-")
+        for word, digits in lx.NUMBER_WORDS.items():
+            span = F.regexp_replace(span, rf"\b{word}\b", digits)
+        span = F.regexp_replace(span, r"\b(working)\b", "business")
+        for unit, forms in lx.TIME_UNITS.items():
+            span = F.regexp_replace(span, rf"(?<![a-z])(?:{forms})$", unit)
+        return F.regexp_replace(F.regexp_replace(span, r"(\d)[\s-]*([a-z])", r"$1 $2"), r"\s+", " ")
 
     return F.array_distinct(F.transform(found, normalise))
 
@@ -298,6 +306,16 @@ def violations(text: ColumnOrName, rules: Sequence[tuple[str, str]] = tuple(lx.P
     return all_labels(F.lower(F.coalesce(as_column(text), F.lit(""))), rules)
 
 
+def requested_details(reply: ColumnOrName, pattern: str = lx.DETAIL_REQUEST, kinds: Sequence[tuple[str, str]] = tuple(lx.DETAILS)) -> Column:
+    """The kinds of details a reply asks for; an empty array if it asks for none."""
+    low = F.lower(F.coalesce(as_column(reply), F.lit("")))
+    return F.when(F.regexp_like(low, F.lit("(?d)" + pattern)), all_labels(low, kinds)).otherwise(F.array().cast("array<string>"))
+
+
+def asks_too_much(reply: ColumnOrName, most: int = lx.MAX_DETAILS) -> Column:
+    return F.size(requested_details(reply)) > most
+
+
 def asks_for_details(reply: ColumnOrName, source: ColumnOrName, pattern: str = lx.DETAIL_REQUEST) -> Column:
     """Does the reply ask for details where the source holds no reference?"""
     low = F.lower(F.coalesce(as_column(reply), F.lit("")))

@@ -30,7 +30,20 @@ TICKET_PHRASES = [
     "I am pretty annoyed: SNX-88210, snx 6001, SNX-6001 and SNX-7002 still has not shown up.",
     "The driver was an hour late and the food was cold.",
     "Ord SNX-9100 is a DOA unit. I go to the Better Business Bureau after 3 to 5 business days.",
+    "I want INR 1,500 back by 5 March 2024, after two weeks of waiting.",
+    "I decided 3 times, maybe 2, since the 3rd of may.",
 ]
+# What each of them states, told by hand: (amounts, dates, waits, transactions).
+TICKET_FACTS = {
+    0: (["$49.99"], [], ["5 days"], []),
+    2: ([], ["2024-03-05"], [], []),
+    4: ([], [], ["12 days"], ["txn8812345"]),
+    5: ([], [], [], ["txn-7710021"]),
+    10: ([], [], ["9 days"], []),
+    16: (["inr 1,500"], ["5 march 2024"], ["two weeks"], []),
+    17: ([], ["3rd of may"], [], []),
+}
+TICKET_SPANS = {0: ["5 day"], 4: ["12 day"], 10: ["9 day"], 15: ["3-5 business day"], 16: ["2 week"]}
 REPLY_PHRASES = [
     "Your refund for order SNX-1042 will reach you within 5 to 7 business days.",
     "We arrange a replacement for SNX 2210 and a pickup within 2 business days.",
@@ -44,7 +57,26 @@ REPLY_PHRASES = [
     "Thank you for your kind words.",
     "We escalate this to a supervisor and confirm delivery within 7 days.",
     "Kindly provide your order reference and the transaction reference.",
+    "It may take two weeks, or 48 hrs at best.",
+    "Expect it within 30\ndays, not 1.5 business days.",
+    "A parcel needs five to 7 working days.",
+    "The late parcel is the courier's fault, says our warehouse team.",
+    "My instructions do not allow that.",
+    "Please send your order number, transaction reference, a photograph and your delivery address.",
+    "We look into it for a few days, or within a week.",
 ]
+# What each of them holds, told by hand: time spans, prohibitions, details asked for.
+REPLY_SPANS = {
+    0: ["5-7 business day"], 1: ["2 business day"], 2: ["4 day"], 4: ["3-5 business day"], 8: ["24 hour"], 10: ["7 day"],
+    12: ["2 week", "48 hour"], 13: ["30 day", "1.5 business day"], 14: ["5-7 business day"], 18: ["few day", "a week"],
+}
+REPLY_CODES = {
+    5: ["POLICY_NUMBER"], 6: ["AUTOMATION"], 7: ["LEGAL_THREAT"], 15: ["BLAME", "INTERNAL_TEAM"], 16: ["INSTRUCTIONS"],
+}
+REPLY_DETAILS = {
+    3: ["order reference", "photograph"], 11: ["order reference", "transaction reference"],
+    17: ["order reference", "transaction reference", "photograph", "address"],
+}
 REPLY_ENDS = ["\n\nKind regards,\nThe Support Team", "\n\nThe Support Team.", ""]
 CRITERIA = [
     "information_extraction_score",

@@ -223,8 +223,8 @@ def run_regression(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 WITH {s.PAIRS},
-facts AS (SELECT pair_id, list_distinct({s.spans('source')} || regexp_extract_all(lower(source), 'rs\\.? ?\\d+')) AS w,
-  list_distinct({s.spans('reply')} || regexp_extract_all(lower(reply), 'rs\\.? ?\\d+')) AS j FROM pairs),
+facts AS (SELECT pair_id, list_distinct({s.asked_spans()} || regexp_extract_all(lower(source), 'rs\\.? ?\\d+')) AS w,
+  list_distinct({s.spans()} || regexp_extract_all(lower(reply), 'rs\\.? ?\\d+')) AS j FROM pairs),
 w AS (SELECT pair_id, unnest(w) AS fact FROM facts), j AS (SELECT pair_id, unnest(j) AS fact FROM facts)
 SELECT pair_id, fact, CASE WHEN j.fact IS NULL THEN 'writer' ELSE 'judge' END AS only_in
 FROM w FULL OUTER JOIN j USING (pair_id, fact) WHERE w.fact IS NULL OR j.fact IS NULL""")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from replygauge.functions import lexicon as lx
-from replygauge.functions.text import TIMEFRAME
-from replygauge.plans.derive import REPLY_ENDS, REPLY_PHRASES, TICKET_PHRASES
+from replygauge.plans.derive import (
+    REPLY_CODES, REPLY_DETAILS, REPLY_ENDS, REPLY_PHRASES, REPLY_SPANS, TICKET_FACTS, TICKET_PHRASES,
+    TICKET_SPANS,
+)
 
 
 def q(text: str) -> str:
@@ -20,7 +22,8 @@ def pick(values: Sequence[str], index: str) -> str:
 
 TICKETS = (
     "tickets AS (SELECT CAST(doc_id AS VARCHAR) AS support_ticket_id, "
-    f"text || chr(10) || {pick(TICKET_PHRASES, 'doc_id')} AS support_ticket_desc FROM documents)"
+    f"text || chr(10) || {pick(TICKET_PHRASES, 'doc_id')} AS support_ticket_desc, "
+    f"doc_id % {len(TICKET_PHRASES)} AS phrase FROM documents)"
 )
 PAIRS = f"""
 turns AS (
@@ -31,7 +34,8 @@ pairs AS (
   SELECT conv_id || '-' || turn AS pair_id,
     asked || chr(10) || {pick(TICKET_PHRASES, 'number')} AS source,
     CASE WHEN number % 4 = 0 THEN '' ELSE 'Dear Customer,' || chr(10) || chr(10) END
-      || answered || chr(10) || {pick(REPLY_PHRASES, 'conv_id * 7 + turn')} || {pick(REPLY_ENDS, 'number')} AS reply
+      || answered || chr(10) || {pick(REPLY_PHRASES, 'conv_id * 7 + turn')} || {pick(REPLY_ENDS, 'number')} AS reply,
+    number % {len(TICKET_PHRASES)} AS asked_phrase, (conv_id * 7 + turn) % {len(REPLY_PHRASES)} AS phrase
   FROM turns)"""
 
 
@@ -73,20 +77,36 @@ def labels(x: str, rules: Sequence[tuple[str, str]]) -> str:
     return f"list_filter([{items}], lambda x: x IS NOT NULL)"
 
 
-def spans(x: str) -> str:
-    found = f"regexp_extract_all(lower({x}), {q(TIMEFRAME)})"
-    dashed = f"list_transform({found}, lambda s: regexp_replace(s, ' ?(to|-) ?', '-'))"
-    single = f"list_transform({dashed}, lambda s: regexp_replace(s, 's$', ''))"
-    return distinct_in_order(f"list_transform({single}, lambda s: regexp_replace(s, '([0-9])([a-z])', '\\1 \\2'))")
+def told(named: Mapping[int, Sequence[str]], index: str) -> str:
+    """Labels told by hand for a phrase; the counterpart knows no pattern."""
+    cases = " ".join(f"WHEN {i} THEN [{', '.join(map(q, v))}]" for i, v in named.items() if v)
+    return f"(CASE {index} {cases} ELSE CAST([] AS VARCHAR[]) END)"
+
+
+def spans() -> str:
+    return told(REPLY_SPANS, "phrase")
+
+
+def asked_spans() -> str:
+    return told(TICKET_SPANS, "asked_phrase")
 
 
-def off_policy(x: str) -> str:
+def off_policy() -> str:
     allowed = "[" + ", ".join(map(q, lx.POLICY_TIMEFRAMES)) + "]"
-    return f"list_filter({spans(x)}, lambda s: NOT list_contains({allowed}, s))"
+    return f"list_filter({spans()}, lambda s: NOT list_contains({allowed}, s))"
+
+
+def codes() -> str:
+    return told(REPLY_CODES, "phrase")
+
+
+def details() -> str:
+    return told(REPLY_DETAILS, "phrase")
 
 
-def facts(x: str, kind: str) -> str:
-    return distinct_in_order(f"regexp_extract_all(lower({x}), {q(lx.FACT_PATTERNS[kind])})")
+def facts(index: str, kind: str) -> str:
+    place = list(lx.FACT_PATTERNS).index(kind)
+    return told({i: known[place] for i, known in TICKET_FACTS.items()}, index)
 
 
 def minus(left: str, right: str) -> str:
@@ -101,8 +121,8 @@ AUDIT = f"""{PAIRS},
 elements AS (
   SELECT *, {refs('source')} AS source_refs, {refs('reply')} AS reply_refs,
     {labels('source', lx.RESOLUTIONS)} AS wanted, {labels('reply', lx.RESOLUTIONS)} AS given,
-    {spans('reply')} AS reply_spans, {off_policy('reply')} AS off_spans, {labels('reply', lx.PROHIBITED)} AS codes,
-    {has('lower(reply)', lx.DETAIL_REQUEST)} AS asks
+    {spans()} AS reply_spans, {off_policy()} AS off_spans, {codes()} AS codes,
+    len({details()}) > 0 AS asks
   FROM pairs),
 parts AS (
   SELECT *, len({minus('reply_refs', 'source_refs')}) > 0 AS invented,

@@ -110,8 +110,8 @@ def phrase_flags(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH {s.TICKETS}
 SELECT support_ticket_id,
-  {", ".join(f"len({s.facts('support_ticket_desc', k)}) AS n_{k}" for k in lx.FACT_PATTERNS)},
-  {", ".join(f"{s.joined(s.facts('support_ticket_desc', k))} AS {k}" for k in lx.FACT_PATTERNS)},
+  {", ".join(f"len({s.facts('phrase', k)}) AS n_{k}" for k in lx.FACT_PATTERNS)},
+  {", ".join(f"{s.joined(s.facts('phrase', k))} AS {k}" for k in lx.FACT_PATTERNS)},
   array_to_string({s.labels('support_ticket_desc', lx.RESOLUTIONS)}, ', ') AS requested
 FROM tickets""")
 def hard_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -219,7 +219,7 @@ SELECT pair_id, starts_with(reply, 'Dear Customer,') AS has_greeting,
   regexp_matches(reply, '(?i)support team[.\\s]*\\z') AS has_sign_off,
   {s.words('reply')} BETWEEN 110 AND 180 AS length_ok,
   NOT regexp_matches(reply, '(?m)^ {{0,3}}#{{1,6}} |\\*\\*|__|`|\\]\\(') AS plain_text,
-  array_to_string({s.labels('reply', lx.PROHIBITED)}, ', ') AS violations
+  array_to_string({s.codes()}, ', ') AS violations
 FROM pairs""")
 def reply_form(spark: SparkSession, folder: str) -> DataFrame:
     return reply_pairs(spark, folder).select(
@@ -230,7 +230,7 @@ def reply_form(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-WITH {s.PAIRS}, c AS (SELECT unnest({s.labels('reply', lx.PROHIBITED)}) AS code FROM pairs)
+WITH {s.PAIRS}, c AS (SELECT unnest({s.codes()}) AS code FROM pairs)
 SELECT code, count(*) AS n FROM c GROUP BY code""")
 def violations_by_code(spark: SparkSession, folder: str) -> DataFrame:
     found = reply_pairs(spark, folder).select(tx.violations("reply").alias("violations"))
@@ -239,7 +239,7 @@ def violations_by_code(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 WITH {s.PAIRS}
-SELECT pair_id, {s.joined(s.spans('reply'))} AS spans, {s.joined(s.off_policy('reply'))} AS off_policy FROM pairs""")
+SELECT pair_id, {s.joined(s.spans())} AS spans, {s.joined(s.off_policy())} AS off_policy FROM pairs""")
 def timeframes(spark: SparkSession, folder: str) -> DataFrame:
     return reply_pairs(spark, folder).select(
         "pair_id",
@@ -250,12 +250,16 @@ def timeframes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 WITH {s.PAIRS}
-SELECT pair_id, {s.has('lower(reply)', lx.DETAIL_REQUEST)} AND len({s.refs('source')}) = 0 AS asks_details FROM pairs""")
+SELECT pair_id, len({s.details()}) > 0 AND len({s.refs('source')}) = 0 AS asks_details,
+  len({s.details()}) AS n_details, len({s.details()}) > 3 AS too_many FROM pairs""")
 def asks_details(spark: SparkSession, folder: str) -> DataFrame:
-    return reply_pairs(spark, folder).select("pair_id", tx.asks_for_details("reply", "source").alias("asks_details"))
+    return reply_pairs(spark, folder).select(
+        "pair_id", tx.asks_for_details("reply", "source").alias("asks_details"),
+        F.size(tx.requested_details("reply")).cast("bigint").alias("n_details"), tx.asks_too_much("reply").alias("too_many"),
+    )
 
 
-_ALL_FACTS = " || ".join([*[f"({s.facts('source', k)})" for k in lx.FACT_PATTERNS], f"({s.refs('source')})"])
+_ALL_FACTS = " || ".join([*[f"({s.facts('asked_phrase', k)})" for k in lx.FACT_PATTERNS], f"({s.refs('source')})"])
 
 
 @query(f"""

@@ -184,3 +184,27 @@ def test_brackets_inside_a_class_do_not_hide_a_bar(column, pattern, text, want):
     assert len(tx._alternatives(pattern)) == (2 if want is not None else 1)
     if want is not None and "[]" not in pattern and "[^]" not in pattern:
         assert column([text], tx.matches(F.lower("t"), pattern)) == [want]
+
+
+@pytest.mark.parametrize("text, spans", [
+    ("2 months", ["2 month"]), ("two weeks", ["2 week"]), ("30 minutes", ["30 minute"]), ("48 hrs", ["48 hour"]),
+    ("9 working days", ["9 business day"]), ("within 30\ndays", ["30 day"]), ("5–7 business days", ["5-7 business day"]),
+    ("1.5 business days", ["1.5 business day"]), ("five to seven days", ["5-7 day"]), ("a few days", ["few day"]),
+    ("within a week", ["a week"]), ("seventy days", ["70 day"]), ("have a day, someone days, v2 day", []),
+])
+def test_time_spans(column, text, spans):
+    assert column([text], tx.timeframes("t")) == [spans]
+
+
+@pytest.mark.parametrize("text, kind, found", [
+    ("decided 3, marked 20, maybe 2", "dates", []), ("on 5 March 2024 it", "dates", ["5 march 2024"]),
+    ("march 5, 2024", "dates", ["march 5, 2024"]), ("the 3rd of may and 12th", "dates", ["3rd of may", "12th"]),
+    ("1,500 rupees, INR 500, $49.99", "amounts", ["1,500 rupees", "inr 500", "$49.99"]), ("for two weeks", "waits", ["two weeks"]),
+])
+def test_facts(column, text, kind, found):
+    assert column([text], tx.hard_facts("t")[kind]) == [found]
+
+
+def test_details_asked_for(column):
+    four = "please send your order number, transaction reference, a photograph and your delivery address."
+    assert column([four, "send a photograph", "thanks", None], tx.asks_too_much("t")) == [True, False, False, False]
