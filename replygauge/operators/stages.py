@@ -3,8 +3,8 @@
 A stage sends one prompt per row to a scorer and parses the reply. There are two
 kinds of scorer. A rule scorer is a column expression, so all stages together
 are one narrow pass over the input. A model scorer is Python code over pandas
-batches; its replies are stored under a key of everything that went into them,
-so a rerun, a retry or an exact copy of a prompt never asks twice.
+batches; its replies are stored under a key of everything that went into them, so
+a good reply is never asked for twice, and a bad one is asked for again.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from replygauge.functions.replies import OK, ReplySchema, Score, Text, parse_rep
 from replygauge.functions.text import ColumnOrName, as_column
 from replygauge.operators.joins import join_repeated
 from replygauge.operators.prompting import Ref, assemble_messages, close_prompt, render
+from replygauge.session import work_folder
 from replygauge.sources.tickets import read_if_present
 
 
@@ -81,9 +82,6 @@ def stage_table(spark: SparkSession) -> DataFrame:
     )
 
 
-BatchScorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
-
-
 @dataclass(frozen=True)
 class RuleScorer:
     """A scorer made of column expressions.
@@ -158,14 +156,16 @@ def enrich(tickets: DataFrame, scorer: RuleScorer = RULES) -> DataFrame:
     return enriched.drop(*[name for name in enriched.columns if name.startswith("__")])
 
 
-def consolidate(enriched: DataFrame) -> DataFrame:
-    """The flat output row: contractual names and order, nothing else."""
+def output_columns() -> dict[str, str]:
+    """Where each column of the flat row stands on the enriched row, in order."""
     renamed = {"summarisation": "summarise.summary", "response_generation": "respond.response"}
     owner = {name: stage.name for stage in STAGES for name in stage.schema.names}
-    return enriched.select(*[
-        F.col(renamed.get(name) or (f"{owner[name]}.{name}" if name in owner else name)).alias(name)
-        for name in lx.CONSOLIDATED_COLUMNS
-    ])
+    return {name: renamed.get(name) or (f"{owner[name]}.{name}" if name in owner else name) for name in lx.CONSOLIDATED_COLUMNS}
+
+
+def consolidate(enriched: DataFrame) -> DataFrame:
+    """The flat output row: contractual names and order, nothing else."""
+    return enriched.select(*[F.col(place).alias(name) for name, place in output_columns().items()])
 
 
 def stage_counts(enriched: DataFrame) -> DataFrame:
@@ -180,7 +180,21 @@ def stage_counts(enriched: DataFrame) -> DataFrame:
 
 # -- model scorers ----------------------------------------------------------
 
-_STORE_SCHEMA = "request_key string, raw string, error string, stage string"
+
+@dataclass(frozen=True)
+class ModelSettings:
+    """What a scorer is told besides the messages."""
+
+    stage: str
+    model: str
+    temperature: float
+    max_tokens: int
+
+
+# Takes a batch with request_key and messages; returns request_key, raw and, if it likes, error.
+BatchScorer = Callable[[pd.DataFrame], pd.DataFrame]
+# Called once per partition, so that a client or a model is built once.
+ScorerFactory = Callable[[ModelSettings], BatchScorer]
 
 
 def system_text(prompts: DataFrame, stage: Stage) -> tuple[str, str]:
@@ -192,25 +206,42 @@ def system_text(prompts: DataFrame, stage: Stage) -> tuple[str, str]:
 
 
 def request_key(stage: Stage, version: str, model: str, user_text: ColumnOrName) -> Column:
-    """Key of a reply: everything that went into asking for it."""
-    settings = [stage.name, model, str(stage.temperature), version]
+    """Key of a reply: everything that went into asking for it, the token limit and the reply's fields included."""
+    settings = [stage.name, model, str(stage.temperature), str(stage.max_tokens), stage.schema.ddl, version]
     return F.sha2(F.concat_ws("\x1f", *map(F.lit, settings), as_column(user_text)), 256)
 
 
-def isolated(scorer: BatchScorer) -> BatchScorer:
-    """Keep a failing row from failing its batch.
+def isolated(
+    make_scorer: ScorerFactory, settings: ModelSettings
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """One reply or error for each request, whatever the scorer does.
 
-    A batch that raises is halved and tried again; a row that raises alone gets
-    its error text and no reply.
+    A batch that raises, or answers for keys it was not given or twice for one, is
+    halved and tried again; a row that still fails gets the error's text. A row the
+    scorer leaves out gets the error ``no reply``.
     """
 
+    def replies(score: BatchScorer, part: pd.DataFrame) -> pd.DataFrame:
+        got = score(part)
+        if not got["request_key"].is_unique or not got["request_key"].isin(part["request_key"]).all():
+            raise ValueError("replies with unknown or repeated keys")
+        if "error" not in got:
+            got = got.assign(error=None)
+        out = part[["request_key"]].merge(got[["request_key", "raw", "error"]], on="request_key", how="left")
+        lost = ~out["request_key"].isin(got["request_key"])
+        return out.assign(error=out["error"].astype(object).mask(lost, "no reply"))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        score = None
         for batch in batches:
+            score = score or make_scorer(settings)
             waiting = [batch]
             while waiting:
                 part = waiting.pop()
+                if not len(part):
+                    continue
                 try:
-                    yield pd.concat(list(scorer(iter([part]))))[["request_key", "raw"]].assign(error=None)
+                    yield replies(score, part)
                 except Exception as error:
                     if len(part) == 1:
                         yield part[["request_key"]].assign(raw=None, error=f"{type(error).__name__}: {error}")
@@ -221,63 +252,108 @@ def isolated(scorer: BatchScorer) -> BatchScorer:
     return run
 
 
+_STORE_SCHEMA = "request_key string, raw string, error string, reply_class string, attempt int, stage string, model string, version string"
+
+
 @dataclass(frozen=True)
 class ReplyStore:
-    """Stored replies, one Parquet table partitioned by stage."""
+    """Stored replies, one Parquet table partitioned by stage, model and prompt version.
+
+    Every attempt is a row with the class its reply was given. A reply that is not
+    ``ok`` is asked for again by later runs, up to ``attempts`` times.
+    """
 
     path: str
+    attempts: int = 3
 
-    def read(self, spark: SparkSession, stage: Stage) -> DataFrame:
+    def read(self, spark: SparkSession, stage: Stage, model: str, version: str) -> DataFrame:
         stored = read_if_present(spark, self.path, _STORE_SCHEMA)
-        return stored.where((F.col("stage") == stage.name) & F.col("error").isNull())
+        return stored.where((F.col("stage") == stage.name) & (F.col("model") == model) & (F.col("version") == version))
+
+    def best(self, keys: DataFrame, stage: Stage, model: str, version: str) -> DataFrame:
+        """The best attempt of each of the given keys: a good reply, else the last. Only their rows are grouped."""
+        mine = self.read(keys.sparkSession, stage, model, version).join(keys.select("request_key"), "request_key", "left_semi")
+        rank = F.struct(F.col("reply_class") == OK, "attempt")
+        return mine.groupBy("request_key").agg(
+            F.max_by(F.struct("raw", "error", "reply_class"), rank).alias("x"), F.max("attempt").alias("attempt")
+        ).select("request_key", "x.raw", "x.error", "x.reply_class", "attempt")
 
     def ask(
-        self, asked: DataFrame, stage: Stage, system: str, scorer: BatchScorer, partitions: int | None = None
+        self, asked: DataFrame, stage: Stage, system: str, version: str, model: str, make_scorer: ScorerFactory,
+        requests_per_task: int = 500,
     ) -> DataFrame:
-        """Reply of each distinct request, asking only for those not stored yet.
+        """The best reply of each distinct request, asking only where it is missing or bad.
 
-        ``asked`` holds ``request_key`` and ``user_text``. Copies collapse before
-        the shuffle, and the instruction text is added only after it.
-        ``partitions`` sets how many scorers run at once. A failed row is stored
-        with its error and asked again in the next run.
+        ``asked`` holds ``request_key`` and ``user_text``, null for what is not to be
+        sent. Copies collapse before the shuffle; the instruction text is added only
+        after it. The number of tasks follows the number of requests. Returns a table
+        (request_key, raw, error) of this run, read from the work folder.
         """
         spark = asked.sparkSession
-        distinct = asked.where(F.col("user_text").isNotNull()).dropDuplicates(["request_key"])
-        todo = distinct.join(self.read(spark, stage).select("request_key"), "request_key", "left_anti")
-        if partitions:
-            todo = todo.repartition(partitions)
-        answered = todo.select(
+        distinct = asked.where(F.col("user_text").isNotNull()).groupBy("request_key").agg(F.first("user_text").alias("user_text"))
+        distinct = _kept(distinct, "requests")
+        stored = self.best(distinct, stage, model, version).select("request_key", "reply_class", "attempt")
+        open_ = F.col("attempt").isNull() | ((F.col("reply_class") != OK) & (F.col("attempt") < self.attempts))
+        todo = _kept(distinct.join(stored, "request_key", "left").where(open_).select("request_key", "user_text", "attempt"), "todo")
+        tasks = max(1, -(-todo.count() // requests_per_task))
+        answered = todo.repartition(tasks, "request_key").select(
             "request_key", assemble_messages(F.lit(system), "user_text").alias("messages")
-        ).mapInPandas(isolated(scorer), "request_key string, raw string, error string")
-        answered.withColumn("stage", F.lit(stage.name)).write.mode("append").partitionBy("stage").parquet(self.path)
-        replies = read_if_present(spark, self.path, _STORE_SCHEMA).where(F.col("stage") == stage.name)
-        # A key asked again after an error has several rows; a reply wins over an error.
-        return replies.groupBy("request_key").agg(F.max("raw").alias("raw"), F.max("error").alias("error")).select(
-            "request_key", "raw", F.when(F.col("raw").isNull(), F.col("error")).alias("error")
+        ).mapInPandas(
+            isolated(make_scorer, ModelSettings(stage.name, model, stage.temperature, stage.max_tokens)),
+            "request_key string, raw string, error string",
         )
+        classed = parse_replies(answered, "raw", stage.schema, into="reply").select("request_key", "raw", "error", "reply_class")
+        numbered = classed.join(todo.select("request_key", (F.coalesce("attempt", F.lit(0)) + 1).alias("attempt")), "request_key")
+        numbered.withColumns({"stage": F.lit(stage.name), "model": F.lit(model), "version": F.lit(version)}).write.mode(
+            "append"
+        ).partitionBy("stage", "model", "version").parquet(self.path)
+        best = self.best(distinct, stage, model, version)
+        error = F.when(F.col("raw").isNull(), F.col("error"))
+        return _kept(best.select("request_key", "raw", error.alias("error")), "replies")
+
+
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    """A table of this run in the shared work folder."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def run_model(
     df: DataFrame,
     stage: Stage,
     fields: Mapping[str, str],
-    scorer: BatchScorer,
+    make_scorer: ScorerFactory,
     store: ReplyStore,
     prompts: DataFrame,
     model: str,
-    partitions: int | None = None,
-    key: str = "support_ticket_id",
+    requests_per_task: int = 500,
 ) -> DataFrame:
     """Run a stage with a model scorer. Adds raw reply, error, class and parsed struct.
 
-    ``key`` is a column that tells copies of a text apart. Only request keys and messages cross into Python. Replies come from the stored table,
-    so using the result twice does not ask twice.
+    A row with a blank input is not sent; its class is ``empty``, as with rules.
+    Only request keys and messages cross into Python. Replies come from a stored
+    table, so using the result twice does not ask twice.
     """
     raw, error = f"{stage.name}_raw", f"{stage.name}_error"
     system, version = system_text(prompts, stage)
-    user = close_prompt(render(stage.template, {name: fields[name] for name in stage.inputs}))
-    asked = df.withColumn("user_text", user).withColumn("request_key", request_key(stage, version, model, "user_text"))
-    replies = store.ask(asked.select("request_key", "user_text"), stage, system, scorer, partitions)
+    unsent = reduce(or_, [tx.is_blank(fields[name]) for name in stage.inputs])
+    user = F.when(~unsent, close_prompt(render(stage.template, {name: fields[name] for name in stage.inputs})))
+    key = F.when(user.isNotNull(), request_key(stage, version, model, user))
+    asked = df.withColumn("request_key", key)
+    replies = store.ask(
+        asked.select("request_key", user.alias("user_text")), stage, system, version, model, make_scorer, requests_per_task
+    )
     named = replies.withColumnsRenamed({"raw": raw, "error": error})
-    joined = join_repeated(asked.drop("user_text"), named, "request_key").drop("request_key")
+    joined = join_repeated(asked, named, "request_key").drop("request_key")
     return parse_replies(joined, raw, stage.schema, into=stage.name)
+
+
+def enrich_with_model(
+    tickets: DataFrame, make_scorer: ScorerFactory, store: ReplyStore, prompts: DataFrame, model: str, requests_per_task: int = 500
+) -> DataFrame:
+    """All four stages with a model. A row that fails in one stage is not sent to those that need its result."""
+    enriched = tickets
+    for stage in STAGES:
+        enriched = run_model(enriched, stage, FIELDS, make_scorer, store, prompts, model, requests_per_task)
+    return enriched

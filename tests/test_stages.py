@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import dataclasses
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,63 +96,91 @@ def test_last_messages_of_a_table(spark):
     assert {tuple(r) for r in pr.last_messages(df, "user").collect()} == {(1, "b"), (2, "")}
 
 
-def logging_scorer(log, refuse="please help"):
-    """Appends each prompt it is asked to a file; raises on one text."""
+def logging_model(log, refuse="please help", reply=None, lose=None):
+    """Appends each prompt it answers to a file; raises on one text, leaves out another."""
 
-    def score(batches):
-        for batch in batches:
-            raws = []
-            for messages in batch["messages"]:
-                text = messages[-1]["content"]
-                if refuse in text:
-                    raise ValueError("no")
-                raws.append(json.dumps({"output": {"summary": text.splitlines()[0]}}))
+    def make(settings):
+        with open(f"{log}.made", "a") as file:
+            file.write(f"{settings.stage} {settings.model} {settings.temperature} {settings.max_tokens}\n")
+
+        def score(batch):
+            texts = [m[-1]["content"] for m in batch["messages"]]
+            if any(refuse in t for t in texts):
+                raise ValueError("no")
             with open(log, "a") as file:
-                file.writelines("x\n" for _ in raws)
-            yield batch[["request_key"]].assign(raw=raws)
+                file.writelines("x\n" for _ in texts)
+            raws = [reply or json.dumps({"output": {"summary": t.splitlines()[0]}}) for t in texts]
+            out = batch[["request_key"]].assign(raw=raws)
+            return out[[not lose or lose not in t for t in texts]]
+
+        return score
 
-    return score
+    return make
 
 
 def asked(log):
     return len(log.read_text().splitlines()) if log.exists() else 0
 
 
-def test_model_stage_isolates_errors_collapses_copies_and_resumes(spark, tickets, prompts, tmp_path):
-    log, store = tmp_path / "log", st.ReplyStore(str(tmp_path / "replies"))
-    copies = tickets.where("support_ticket_desc is not null").unionByName(
-        tickets.where("support_ticket_id = '1'").withColumn("support_ticket_id", F.lit("6"))
-    )
+def run(tickets, log, store, prompts, model="m", stage=st.SUMMARISE, **faults):
+    result = st.run_model(tickets, stage, st.FIELDS, logging_model(str(log), **faults), store, prompts, model)
+    return {r.support_ticket_id: r for r in result.collect()}
 
-    def run(refuse="please help", model="m"):
-        result = st.run_model(
-            copies, st.SUMMARISE, st.FIELDS, logging_scorer(str(log), refuse), store, prompts, model, partitions=2
-        )
-        return {r.support_ticket_id: r for r in result.collect()}
 
-    rows = run()
-    assert set(rows) == {"1", "2", "3", "4", "6"}
-    assert rows["2"].summarise_error == "ValueError: no"
-    assert rows["2"].summarise_class == "empty"
+def test_model_stage_isolates_errors_collapses_copies_and_resumes(spark, tickets, prompts, tmp_path):
+    log, store = tmp_path / "log", st.ReplyStore(str(tmp_path / "replies"))
+    copies = tickets.unionByName(tickets.where("support_ticket_id = '1'").withColumn("support_ticket_id", F.lit("6")))
+    rows = run(copies, log, store, prompts)
+    assert set(rows) == {"1", "2", "3", "4", "5", "6"}
+    assert rows["2"].summarise_error == "ValueError: no" and rows["2"].summarise_class == "empty"
     assert rows["1"].summarise_class == "ok"
     assert rows["1"].summarise.summary == rows["6"].summarise.summary == f'Ticket: "{TICKETS[0][1]}"'
-    assert asked(log) == 3
-
-    run()
-    assert asked(log) == 3, "stored replies are not asked for again"
-    rows = run(refuse="nothing")
-    assert asked(log) == 4, "only the failed one is asked again"
-    assert rows["2"].summarise_class == "ok"
-    assert rows["2"].summarise_error is None
-    run(refuse="nothing", model="other")
-    assert asked(log) == 8, "another model has other keys"
+    assert asked(log) == 2, "copies are asked once, blank texts not at all"
+    assert {rows[i].summarise_class for i in ("4", "5")} == {"empty"}
+    made = (tmp_path / "log.made").read_text().splitlines()
+    assert len(made) <= 8 and set(made) == {"summarise m 0.2 400"}, "once per partition, with the settings"
+
+    run(copies, log, store, prompts)
+    assert asked(log) == 2, "stored replies are not asked for again"
+    rows = run(copies, log, store, prompts, refuse="nothing")
+    assert asked(log) == 3, "only the failed one is asked again"
+    assert rows["2"].summarise_class == "ok" and rows["2"].summarise_error is None
+    run(copies, log, store, prompts, refuse="nothing", model="other")
+    assert asked(log) == 6, "another model has other keys"
+
+
+def test_a_bad_reply_is_asked_again_up_to_the_given_attempts(tickets, prompts, tmp_path):
+    log, store = tmp_path / "log", st.ReplyStore(str(tmp_path / "replies"), attempts=2)
+    one = tickets.where("support_ticket_id = '1'")
+    for n in (1, 2, 2):
+        rows = run(one, log, store, prompts, reply='{"output": {"summary": "cut')
+        assert rows["1"].summarise_class == "truncated" and asked(log) == n
+    longer = dataclasses.replace(st.SUMMARISE, max_tokens=800)
+    assert run(one, log, store, prompts, stage=longer)["1"].summarise_class == "ok", "another token limit is another key"
+    more = st.ReplyStore(store.path, attempts=3)
+    assert run(one, log, more, prompts)["1"].summarise_class == "ok", "a good reply replaces the bad ones"
+    assert run(one, log, store, prompts)["1"].summarise_class == "ok"
+
+
+def test_lost_rows_are_errors(tickets, prompts, tmp_path):
+    rows = run(tickets, tmp_path / "log", st.ReplyStore(str(tmp_path / "r")), prompts, lose="SNX")
+    assert rows["1"].summarise_error == "no reply" and rows["1"].summarise_class == "empty"
+    assert rows["3"].summarise_class == "ok"
+
+
+@pytest.mark.parametrize("answer", [
+    lambda b: b[["request_key"]].assign(raw="x", request_key="unknown"),
+    lambda b: pd.concat([b, b])[["request_key"]].assign(raw="x"),
+])
+def test_unknown_and_repeated_keys_are_errors(answer):
+    batch = pd.DataFrame({"request_key": ["a", "b"], "messages": [[], []]})
+    out = pd.concat(st.isolated(lambda settings: answer, None)(iter([batch])))
+    assert out["request_key"].tolist() == ["a", "b"] and out["error"].str.contains("unknown or repeated").all()
 
 
 def test_model_result_used_twice_asks_once(spark, tickets, prompts, tmp_path):
     log = tmp_path / "log"
-    result = st.run_model(
-        tickets, st.SUMMARISE, st.FIELDS, logging_scorer(str(log)), st.ReplyStore(str(tmp_path / "r")), prompts, "m"
-    )
+    result = st.run_model(tickets, st.SUMMARISE, st.FIELDS, logging_model(str(log)), st.ReplyStore(str(tmp_path / "r")), prompts, "m")
     n = asked(log)
     result.count()
     result.select("summarise").collect()
@@ -159,7 +189,4 @@ def test_model_result_used_twice_asks_once(spark, tickets, prompts, tmp_path):
 
 def test_unknown_prompt_is_an_error(tickets, prompts, tmp_path):
     with pytest.raises(ValueError, match="expected one prompt"):
-        st.run_model(
-            tickets, st.SUMMARISE, st.FIELDS, logging_scorer("x"), st.ReplyStore(str(tmp_path)),
-            prompts.where("false"), "m",
-        )
+        run(tickets, tmp_path / "log", st.ReplyStore(str(tmp_path)), prompts.where("false"))
