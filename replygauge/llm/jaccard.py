@@ -26,7 +26,9 @@ from replygauge.llm.arrays import mix, ngrams, slices, words
 from replygauge.llm.common import written
 from replygauge.llm.components import components
 
+#: Coordinates of the tree's points. Larger sets have finer vectors, of about GROUP_SIZE shingles to a group, folded for the tree.
 GROUPS = 64
+GROUP_SIZE = 8
 FANOUT = 16
 #: Rows of one shingle that one task holds together; larger groups meet in pairs of such blocks.
 BLOCK = 2000
@@ -49,9 +51,21 @@ def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
             yield found[:0]
 
 
-def counts(found: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each group."""
-    return np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+def count_vector(found: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each group; groups are ranges of hashes, their number a power of two by the set's size."""
+    bits = max(GROUPS.bit_length() - 1, (len(found) // GROUP_SIZE).bit_length())
+    return np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u2")
+
+
+def folded(vector: np.ndarray, size: int = GROUPS) -> np.ndarray:
+    """The vector of fewer groups."""
+    return vector.reshape(size, -1).sum(axis=1, dtype=np.int64)
+
+
+def shared_most(a: np.ndarray, b: np.ndarray) -> int:
+    """The most shingles that sets of these vectors can share: the sum of the coordinate minima."""
+    size = min(len(a), len(b))
+    return int(np.minimum(folded(a, size), folded(b, size)).sum())
 
 
 def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -123,7 +137,7 @@ def similar_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                     one.append(int(found.sum(dtype=np.uint64).view(np.int64)))
                     two.append(int(mix(found ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64).view(np.int64)))
                     first.append(first_shingles(found, shared.value, percent).view(np.int64))
-                    vector.append(counts(found).astype("<u4").tobytes())
+                    vector.append(count_vector(found).tobytes())
                 yield pa.RecordBatch.from_arrays([
                     part["doc_id"], pa.array(size, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                     pa.array(first, pa.list_(pa.int64())), pa.array(vector, pa.binary()),
@@ -192,10 +206,12 @@ def bounded_overlap(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                left, right = (np.frombuffer(b"".join(batch[x].to_pylist()), "<u4").reshape(-1, GROUPS) for x in ("a_vector", "b_vector"))
-                sizes = (batch[x].to_numpy().astype(np.int64) for x in ("a_size", "b_size"))
-                yield batch.select(["a", "b"]).filter(pa.array(np.minimum(left, right).sum(axis=1) >= needed(*sizes, percent)))
+            most = [
+                shared_most(np.frombuffer(x.as_buffer(), "<u2"), np.frombuffer(y.as_buffer(), "<u2"))
+                for x, y in zip(batch["a_vector"], batch["b_vector"], strict=True)
+            ]
+            sizes = (batch[x].to_numpy().astype(np.int64) for x in ("a_size", "b_size"))
+            yield batch.select(["a", "b"]).filter(pa.array(np.array(most, np.int64) >= needed(*sizes, percent)))
 
     return pairs.join(a, "a").join(b, "b").select("a", "b", "a_size", "b_size", "a_vector", "b_vector").mapInArrow(run, "a long, b long")
 
@@ -260,7 +276,8 @@ def tree_join(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def pairs_of(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         ids, sizes, parts, block = (table[x].to_numpy().astype(np.int64) for x in ("id", "size", "part", "block"))
         lb, rb = table["lb"].to_numpy(), table["rb"].to_numpy()
-        points = np.frombuffer(b"".join(table["vector"].to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
+        vectors = [np.frombuffer(x, "<u2") for x in table["vector"].to_pylist()]
+        points = np.array([folded(v) for v in vectors])
         ends = np.append(starts[1:], table.num_rows)
         left, right = [], []
         two = starts[ends - starts == 2]
@@ -279,6 +296,9 @@ def tree_join(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         i, j = np.concatenate(left).astype(np.int64), np.concatenate(right).astype(np.int64)
         fine = parts[i] != parts[j]
         i, j = i[fine], j[fine]
+        most = np.array([shared_most(vectors[x], vectors[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
+        fine = most >= needed(sizes[i], sizes[j], percent)
+        i, j = i[fine], j[fine]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], ["a", "b"])
 
     ordered = ready.repartition("key", "lb", "rb").sortWithinPartitions("key", "lb", "rb", "id")
