@@ -159,7 +159,7 @@ def similar_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     by_key = Window.partitionBy("key")
     me = F.struct("id", "size")
     met = (
-        single.select("id", "size", F.explode("first").alias("key"))
+        alike_in_size(single.select("id", "size", F.explode("first").alias("key")), percent)
         .withColumn("lead", F.min(me).over(by_key)).withColumn("last", F.max("id").over(by_key))
         .where(F.col("lead.id") != F.col("last"))
     )
@@ -185,6 +185,20 @@ def similar_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     )
 
 
+def alike_in_size(keyed: DataFrame, percent: int) -> DataFrame:
+    """Rows of a key that have a neighbour in size near enough to be similar; ``key`` then names one run of such neighbours.
+
+    Similar sets of a key lie in one run, as sizes between two near sizes are nearer.
+    """
+    by_size = Window.partitionBy("key").orderBy("size", "id")
+    near = keyed.withColumn("before", F.lag("size").over(by_size)).withColumn("after", F.lead("size").over(by_size))
+    joins_before = F.coalesce(F.col("before") * 100 >= F.col("size") * percent, F.lit(False))
+    joins_after = F.coalesce(F.col("size") * 100 >= F.col("after") * percent, F.lit(False))
+    kept = near.where(joins_before | joins_after)
+    run = F.sum(F.when(joins_before, 0).otherwise(1)).over(by_size)
+    return kept.withColumn("run", run).select(F.xxhash64("key", "run").alias("key"), "id", "size")
+
+
 def common_shingles(rows: DataFrame, n: int) -> np.ndarray:
     """Shingles of at least COMMON texts of a sample of one in SAMPLE, at most COMMON_MOST, sorted."""
 
