@@ -3,8 +3,9 @@
 A seed is the hash of the words at the compared places of a mask; the ignored
 places may hold any word, so a seed survives substitutions there. Seeds of all
 positions of all benchmark items meet the seeds of all positions of all
-documents. Around each hit, document and item are laid side by side and the best
-stretch is found that agrees in more than four of five words.
+documents. Around each hit, document and item are laid side by side and the
+stretch with the most agreeing words is found, among all that agree in more than
+four of five words.
 
 Built-in functions only: positions are exploded and hashed inside one generated
 loop, so no row but a hit leaves it.
@@ -17,12 +18,12 @@ from pyspark.sql import functions as F
 
 from replygauge.llm.common import written
 
-#: 1: compared, 0: ignored. Together they hit every overlap of 11 words with up to two substitutions. A best stretch
-#: holds its third disagreement behind 13 agreeing words at the earliest, so that no stretch of 11 words is missed.
+#: 1: compared, 0: ignored. Together they hit every stretch of 10 to 23 words that has ten agreeing words and agrees in more
+#: than four of five. A longer stretch holds one of these: of its halves, one agrees in as large a share, and has ten such words.
 MASKS = ("110111", "11001011")
 #: Agreeing words that make an overlap, or four fifths of a shorter item.
 LEAST = 10
-#: A disagreement outweighs so many agreeing words.
+#: A disagreement takes more than so many agreeing words beside it.
 PENALTY = 4
 
 _WORD = r"[\p{L}\p{N}]+"
@@ -61,33 +62,49 @@ def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
     return hits.select("doc_id", "text_hash", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
 
 
-def best_stretch(item: str, doc: str, shift: str) -> Column:
-    """Agreeing words of the best stretch of two word lists at a shift: one point each, minus PENALTY for a disagreement."""
+def agreement(item: str, doc: str, shift: str) -> Column:
+    """Whether the words of two lists agree, place by place, where they lie side by side at a shift."""
     first = F.greatest(F.lit(0), -F.col(shift))
     count = F.least(F.size(item), F.size(doc) - F.col(shift)) - first
-    agree = F.zip_with(
+    return F.zip_with(
         F.slice(F.col(item), first + 1, count), F.slice(F.col(doc), first + F.col(shift) + 1, count), lambda a, b: a == b
     )
 
-    def step(state: Column, same: Column) -> Column:
-        score = F.greatest(F.lit(0), state["score"] + F.when(same, 1).otherwise(-PENALTY))
-        words = F.when(score == 0, F.lit(0)).otherwise(state["words"] + same.cast("int"))
-        better = score > state["best"]
+
+def best_stretch(agree: Column) -> Column:
+    """Most agreeing words of any stretch with more than PENALTY of them to each disagreement; 0: none.
+
+    Such a stretch only gains by reaching from one disagreement (or end) to another.
+    Between number s at place p and number t at place q lie (q - t) - (p - s) agreeing
+    words and t - s - 1 disagreements. In the order of place minus (PENALTY + 1) times
+    number, each end meets the least place minus number of the starts it may have.
+    """
+    apart = F.array_compact(F.transform(agree, lambda same, i: F.when(~same, i + 1)))
+    ends = F.concat(F.array(F.lit(0)), apart, F.array(F.size(agree) + 1))
+
+    def events(p: Column, s: Column) -> Column:
+        level, before = p - (PENALTY + 1) * s, p - s
+        return F.array(
+            F.struct((level - PENALTY + 1).alias("level"), F.lit(False).alias("is_end"), before.alias("before")),
+            F.struct(level.alias("level"), F.lit(True).alias("is_end"), before.alias("before")),
+        )
+
+    def step(state: Column, event: Column) -> Column:
         return F.struct(
-            score.alias("score"), words.alias("words"),
-            F.when(better, score).otherwise(state["best"]).alias("best"),
-            F.when(better, words).otherwise(state["best_words"]).alias("best_words"),
+            F.when(event["is_end"], state["least"]).otherwise(F.least(state["least"], event["before"])).alias("least"),
+            F.when(event["is_end"], F.greatest(state["most"], event["before"] - state["least"])).otherwise(state["most"]).alias("most"),
         )
 
-    start = F.struct(F.lit(0).alias("score"), F.lit(0).alias("words"), F.lit(0).alias("best"), F.lit(0).alias("best_words"))
-    return F.aggregate(agree, start, step, lambda s: s["best_words"])
+    start = F.struct((F.size(agree) + 1).alias("least"), F.lit(0).alias("most"))
+    return F.aggregate(F.array_sort(F.flatten(F.transform(ends, events))), start, step, lambda s: s["most"])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
     """(doc_id, text_hash, item_id, n_matched, n_item): documents that hold a passage of a benchmark item.
 
-    At least ``least`` words of the best stretch agree, or four fifths of an item
-    that is shorter. Items without room for a mask can not be found and give no row;
+    A stretch that agrees in more than four of five words has at least ``least``
+    agreeing ones, or four fifths of an item that is shorter; n_matched: the most of
+    any stretch. Items without room for a mask can not be found and give no row;
     nor do null or empty texts. Documents that repeat an id are told apart by their
     text; equal rows give one result.
     """
@@ -105,7 +122,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
     i = items.alias("i")
     judged = laid.join(i, laid["item_id"].eqNullSafe(F.col("i.item_id"))).select(
         laid["doc_id"], laid["text_hash"], laid["item_id"], F.size("i.item_words").alias("n_item"),
-        best_stretch("item_words", "words", "shift").alias("n_matched"),
+        best_stretch(agreement("item_words", "words", "shift")).alias("n_matched"),
     )
     enough = F.col("n_matched") >= F.least(F.lit(least), F.ceil(F.col("n_item") * 0.8))
     return judged.where(enough).groupBy("doc_id", "text_hash", "item_id").agg(

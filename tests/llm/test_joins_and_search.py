@@ -130,6 +130,47 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.overlaps(frame.limit(0), bench).count() == decontaminate.overlaps(frame, bench.limit(0)).count() == 0
 
 
+def stated_overlaps(docs, items, least=10):
+    """From the definition: any stretch that agrees in more than four of five words and has enough agreeing ones."""
+    out = {}
+    for (d, x), (i, y) in itertools.product(docs, items):
+        a, b = x.split(), y.split()
+        for shift in range(-len(b) + 1, len(a)):
+            same = [b[j] == a[j + shift] for j in range(max(0, -shift), min(len(b), len(a) - shift))]
+            for at, to in itertools.combinations(range(len(same) + 1), 2):
+                agreeing = sum(same[at:to])
+                if 5 * agreeing > 4 * (to - at) and agreeing >= min(least, -(-4 * len(b) // 5)):
+                    out[d, i] = max(out.get((d, i), 0), agreeing)
+    return out
+
+
+def test_masks_hit_every_stretch_of_ten_agreeing_words():
+    for size in range(10, 24):  # a longer one holds one of these
+        for wrong in range(min(size - 10, (size - 1) // 5) + 1):
+            for subs in itertools.combinations(range(size), wrong):
+                assert any(
+                    all(c == "0" or at + i not in subs for i, c in enumerate(m)) for m in decontaminate.MASKS for at in range(size - len(m) + 1)
+                ), (size, subs)
+
+
+def test_decontamination_finds_any_stretch(spark):
+    # places that differ, over the first words of an item of 30
+    told = {0: (12, [4], 11), 1: (12, [7], 11), 2: (14, [4], 13), 3: (16, [4, 9], 14), 4: (20, [4, 9, 14], 17), 5: (28, [*range(9, 15), 20], 12), 6: (15, [4, 9, 12], 10), 7: (13, [2, 5, 8], 0)}
+    items, docs = [], []
+    for i, (size, places, _) in told.items():
+        words = [f"i{i}x{j}" for j in range(30)]
+        items.append((i, " ".join(words)))
+        docs.append((i, " ".join(["before"] + ["other" if j in places else w for j, w in enumerate(words[:size])] + ["after"])))
+    r = random.Random(5)
+    for d in range(100, 160):
+        words = r.choice(items)[1].split()
+        share = r.choice([0.1, 0.2, 0.25])
+        docs.append((d, " ".join(w if r.random() > share else "other" for w in words[r.randint(0, 9) : r.randint(12, 30)])))
+    got = {(x.doc_id, x.item_id): x.n_matched for x in decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == stated_overlaps(docs, items)
+    assert {i: got.get((i, i), 0) for i in told} == {i: n for i, (_, _, n) in told.items()}
+
+
 def test_decontamination_plan_is_native(spark):
     docs = table(spark, FOLDER, "documents")
     items = table(spark, FOLDER, "benchmark").select("item_id", decontaminate.word_hashes("text").alias("item_words"))
