@@ -131,15 +131,16 @@ def test_decontamination_equals_brute_force(spark):
 
 
 def stated_overlaps(docs, items, least=10):
-    """From the definition: any stretch that agrees in more than four of five words and has enough agreeing ones."""
+    """From the definition: any stretch that agrees in more than four of five words and has enough agreeing ones, or four fifths of a short item."""
     out = {}
     for (d, x), (i, y) in itertools.product(docs, items):
         a, b = x.split(), y.split()
         for shift in range(-len(b) + 1, len(a)):
             same = [b[j] == a[j + shift] for j in range(max(0, -shift), min(len(b), len(a) - shift))]
-            for at, to in itertools.combinations(range(len(same) + 1), 2):
+            whole = -(-4 * len(b) // 5) <= least
+            for at, to in [(0, len(same))] if whole else itertools.combinations(range(len(same) + 1), 2):
                 agreeing = sum(same[at:to])
-                if 5 * agreeing > 4 * (to - at) and agreeing >= min(least, -(-4 * len(b) // 5)):
+                if agreeing >= (-(-4 * len(b) // 5) if whole else least) and (whole or 5 * agreeing > 4 * (to - at)):
                     out[d, i] = max(out.get((d, i), 0), agreeing)
     return out
 
@@ -171,6 +172,22 @@ def test_decontamination_finds_any_stretch(spark):
     assert {i: got.get((i, i), 0) for i in told} == {i: n for i, (_, _, n) in told.items()}
 
 
+@pytest.mark.parametrize("least", [10, 4])
+def test_decontamination_finds_short_items(spark, least):
+    items = [(n, " ".join(f"s{n}x{j}" for j in range(n))) for n in range(1, 15)]
+    docs = []
+    for n, text in items:
+        # verbatim, every set of substitutions that is allowed, one more, and cut at either end
+        for wrong in range(n - -(-4 * n // 5) + 2):
+            for places in itertools.combinations(range(n), wrong):
+                docs.append(" ".join(["before"] + ["other" if j in places else w for j, w in enumerate(text.split())] + ["after"]))
+        docs += [" ".join(text.split()[1:]), " ".join(text.split()[:-2])]
+    docs = list(enumerate(docs))
+    found = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), least)
+    got = {(x.doc_id, x.item_id): x.n_matched for x in found.collect()}
+    assert got == stated_overlaps(docs, items, least) and {i for _, i in got} == set(range(1, 15))
+
+
 def test_decontamination_plan_is_native(spark):
     docs = table(spark, FOLDER, "documents")
     items = table(spark, FOLDER, "benchmark").select("item_id", decontaminate.word_hashes("text").alias("item_words"))
