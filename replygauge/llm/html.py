@@ -23,7 +23,14 @@ from replygauge.llm.common import written
 
 #: Elements without content, and elements whose content is text until their own end tag (fixed values of HTML).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes select button".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+#: Elements that are left out with all elements in them. A block ends a foreign one, unless it is in a part that holds HTML,
+#: and a section ends a control.
+LEFT_OUT = frozenset("noscript template svg math select button".split())
+FOREIGN = frozenset(["svg", "math"])
+_HOLDS_HTML = frozenset(["foreignobject", "annotation-xml"])
+_CONTROLS = frozenset(["select", "button"])
+_SECTIONS = frozenset("article aside body footer header main nav section table".split())
 #: Elements that begin and end a block of text.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -75,10 +82,19 @@ def containers(page: str) -> dict[str, Container]:
     linked = 0
     at, size = 0, page.rfind(">") + 1
 
+    last_ends: dict[str, int] = {}
+
+    def ends_after(tag: str, place: int) -> bool:
+        if tag not in last_ends:
+            last_ends[tag] = max((e.start() for e in re.finditer(rf"</{tag}\b", page, re.IGNORECASE)), default=-1)
+        return last_ends[tag] >= place
+
     def flush() -> None:
         nonlocal linked
+        if stack[-1][2]:
+            return  # words from before what is left out go on behind it
         text = _SPACE.sub(" ", "".join(words)).strip()
-        if text and not stack[-1][2]:
+        if text:
             for path in dict.fromkeys(s[1] for s in stack):
                 c = found.get(path)
                 if c is None:
@@ -98,6 +114,8 @@ def containers(page: str) -> dict[str, Container]:
                 linked += len(text)
 
     def close(to: int) -> None:
+        while len(stack) > to and stack[-1][2]:
+            stack.pop()
         if any(s[0] in BLOCK for s in stack[to:]):
             flush()
         del stack[to:]
@@ -115,19 +133,27 @@ def containers(page: str) -> dict[str, Container]:
         if end:
             place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
             # an end tag of an inline element does not reach out of its block
-            if place and (tag in BLOCK or not any(s[0] in BLOCK for s in stack[place + 1 :])):
+            if place and (tag in BLOCK or tag in LEFT_OUT or not any(s[0] in BLOCK for s in stack[place + 1 :])):
                 close(place)
             continue
         if tag in RAW:
+            if attributes.endswith("/") and _open(stack, FOREIGN, _HOLDS_HTML):
+                continue
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(page, at)
             at = stop.end() if stop else len(page)
             continue
+        while tag in BLOCK and (place := _open(stack, LEFT_OUT, frozenset())):
+            around = stack[place][0]
+            broken = around in FOREIGN and not any(s[0] in _HOLDS_HTML for s in stack[place + 1 :])
+            if not broken and not (around in _CONTROLS and tag in _SECTIONS) and ends_after(around, at):
+                break
+            close(place)
         if tag in _CLOSES_P:
-            place = _open(stack, {"p"}, BLOCK - {"p"})
+            place = _open(stack, {"p"}, (BLOCK - {"p"}) | LEFT_OUT)
             if place:
                 close(place)
         if tag in _CLOSES_SAME:
-            place = _open(stack, _CLOSES_SAME[tag], _SCOPE.get(tag, set()))
+            place = _open(stack, _CLOSES_SAME[tag], _SCOPE.get(tag, set()) | LEFT_OUT)
             if place:
                 close(place)
         if tag in BLOCK:
@@ -144,18 +170,19 @@ def containers(page: str) -> dict[str, Container]:
             if name.lower() == "class":
                 classes = value
             marks += " hidden" if "hidden" in name.lower() and value.lower() != "false" else f" {value}"
-        if len(stack) >= DEEPEST:
+        if len(stack) >= DEEPEST and (tag not in LEFT_OUT or stack[-1][2]):
             continue
         _, path, out, link = stack[-1]
         if tag in BLOCK and tag not in _INNER:
             kinds = ".".join(sorted(_DIGITS.sub("", c) for c in classes.lower().split()))
             path = f"{path}/{tag}" + (f".{kinds}" if kinds else "")
         headed = tag not in _PAGE and bool(_open(stack, {"article"}, set()))  # an article's header belongs to it
-        out = out or (tag in OUTSIDE and not (tag == "header" and headed))
+        out = out or tag in LEFT_OUT or (tag in OUTSIDE and not (tag == "header" and headed))
         if marks and tag not in _PAGE:
             out = out or any(not (headed and "header" in b[0].lower()) for b in BOILERPLATE.finditer(marks))
         stack.append((tag, path, out, link or tag == "a"))
     say(page[at:])
+    close(1)
     flush()
     return found
 
@@ -166,7 +193,7 @@ _INNER = frozenset(
 ) | (frozenset("a b i em strong span small u s code q cite abbr sub sup time mark font big tt kbd var samp label bdi bdo del ins data".split()))
 
 
-def _open(stack: list, tags: set[str], scope: set[str] | frozenset[str]) -> int:
+def _open(stack: list, tags: set[str] | frozenset[str], scope: set[str] | frozenset[str]) -> int:
     """Place of the innermost open element among ``tags``, unless one of ``scope`` is open inside it; 0: none."""
     for i in range(len(stack) - 1, 0, -1):
         if stack[i][0] in tags:

@@ -158,6 +158,27 @@ def test_broken_pages(page):
     html.best_path(found)
 
 
+@pytest.mark.parametrize(
+    ("page", "blocks"),
+    [
+        ("<article><p>one <svg class=icon/>two</p><p>three <math/> four</article>", ["one two", "three four"]),
+        ("<article><p>one <svg viewBox='0'><title>t</title><style/><g><path d=m/></g></svg>two<p>three</article>", ["one two", "three"]),
+        ("<article><p>one <svg><path d=m><p>two</article>", ["one", "two"]),
+        ("<article><p>one <svg><foreignObject><p>x</p></foreignObject></svg>two<p>three</article>", ["one two", "three"]),
+        ("<body><div><button>Menu</div><article><p>one<p>two</article>", ["one", "two"]),
+        ("<body><button>Menu<article><p>one<p>two</article><button>x</button>", ["one", "two"]),
+        ("<article><p>one<select><option>a<option>b<p>two</article>", ["one", "two"]),
+        ("<article><p>one <button><div>x<p>y</button>two</p><p>three</article>", ["one two", "three"]),
+        ("<article><p>one<button>x</p><p>two</article><button>y</button>", ["one", "two"]),
+        ("<article><p>one<noscript><p>x<img></noscript> two<template><div>y<template>z</template>y</template>!<p>three</article>", ["one two!", "three"]),
+        ("<article><p>one<p>two<button>x", ["one", "two"]),
+    ],
+)
+def test_left_out_elements_end_where_they_end(page, blocks):
+    found = html.containers(page)
+    assert found[next(p for p in found if p.endswith("/article"))].blocks == blocks
+
+
 def test_host_vote_beats_a_page_of_its_own(spark):
     usual = "<body><div class=story>" + "<p>word word word</p>" * 20 + "</div><div class=other>less</div></body>"
     odd = "<body><div class=story><p>short</p></div><div class=other>" + "<p>longer text here</p>" * 20 + "</div></body>"
