@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from replygauge.llm import decontaminate, html, jaccard, language, nbsvm, packing, pii, toxicity, warc
 from replygauge.llm.bit_sliced import bit_sliced_topk
+from replygauge.llm.collocations import collocations
 from replygauge.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,4 +104,45 @@ def op7_count_vector_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_classes(table(spark, folder, "documents").select("doc_id", "text"), n=4, percent=85)
 
 
-QUERIES |= {f.__name__: f for f in [op1_spaced_seed_decontamination, op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op7_count_vector_join, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity]}
+def op13_era_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Each language's first 2000 phrases of two to four words; nulls, repeats and long texts as in ``collocations``."""
+    return collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
+ORACLES["op13_era_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces
+), placed AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM worded
+), grams AS (
+  SELECT lang, ws[i : i + d - 1] AS p, d FROM placed, (VALUES (1), (2), (3), (4)) AS t(d) WHERE i + d - 1 <= len(ws)
+), f AS (
+  SELECT lang, p, d, count(*) AS f FROM grams GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE d = 1 GROUP BY lang
+), often AS (
+  SELECT * FROM f WHERE f >= 30
+), cuts AS (
+  SELECT lang, p, d, f AS a, unnest(range(1, d)) AS k FROM often WHERE d >= 2
+), scored AS (
+  SELECT c.lang, c.p, c.d, c.a, c.k, x.f AS l, y.f AS r, CAST((2000000::HUGEINT * c.a) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN often x ON x.lang = c.lang AND x.p = c.p[1 : c.k] JOIN often y ON y.lang = c.lang AND y.p = c.p[c.k + 1 : c.d]
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inner_spans AS (
+  SELECT o.lang, o.f, o.p[s : s + m - 1] AS p
+  FROM often o, (VALUES (1), (2), (3)) AS t(s), (VALUES (2), (3)) AS u(m) WHERE m < o.d AND s + m - 1 <= o.d
+), longest AS (
+  SELECT lang, p, max(f) AS f FROM inner_spans GROUP BY lang, p
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN longest g ON g.lang = b.lang AND g.p = b.p WHERE g.f IS NULL OR 100 * g.f < 80 * b.a
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, array_to_string(p, ' ') AS phrase, a, l, r, score FROM kept
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+QUERIES |= {f.__name__: f for f in [op1_spaced_seed_decontamination, op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op7_count_vector_join, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity, op13_era_collocations]}
