@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from replygauge.llm import decontaminate, html, jaccard, language, nbsvm, packing, pii, toxicity, warc
 from replygauge.llm.bit_sliced import bit_sliced_topk
+from replygauge.llm.bwt_dedup import remove_repeats
 from replygauge.llm.collocations import collocations
 from replygauge.sources.tables import table
 
@@ -104,6 +105,11 @@ def op7_count_vector_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_classes(table(spark, folder, "documents").select("doc_id", "text"), n=4, percent=85)
 
 
+def op11_bwt_merge_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without repeated strings of 100 bytes; nulls, repeats and long texts as in ``remove_repeats``."""
+    return remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op13_era_collocations(spark: SparkSession, folder: str) -> DataFrame:
     """Each language's first 2000 phrases of two to four words; nulls, repeats and long texts as in ``collocations``."""
     return collocations(table(spark, folder, "documents").select("lang", "text"))
@@ -145,4 +151,4 @@ WITH pieces AS (
 SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """
 
-QUERIES |= {f.__name__: f for f in [op1_spaced_seed_decontamination, op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op7_count_vector_join, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity, op13_era_collocations]}
+QUERIES |= {f.__name__: f for f in [op1_spaced_seed_decontamination, op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op7_count_vector_join, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity, op11_bwt_merge_dedup, op13_era_collocations]}
