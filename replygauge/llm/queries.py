@@ -11,6 +11,7 @@ from replygauge.llm import decontaminate, html, jaccard, language, nbsvm, packin
 from replygauge.llm.bit_sliced import bit_sliced_topk
 from replygauge.llm.bwt_dedup import remove_repeats
 from replygauge.llm.collocations import collocations
+from replygauge.llm.conversations import damaged, repair_report
 from replygauge.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +111,12 @@ def op11_bwt_merge_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op12_four_russians_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of each damaged conversation; nulls, ties, repeats and long ones as in ``repair_report``."""
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_report(damaged(conversations), known=conversations)
+
+
 def op13_era_collocations(spark: SparkSession, folder: str) -> DataFrame:
     """Each language's first 2000 phrases of two to four words; nulls, repeats and long texts as in ``collocations``."""
     return collocations(table(spark, folder, "documents").select("lang", "text"))
@@ -151,4 +158,4 @@ WITH pieces AS (
 SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """
 
-QUERIES |= {f.__name__: f for f in [op1_spaced_seed_decontamination, op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op7_count_vector_join, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity, op11_bwt_merge_dedup, op13_era_collocations]}
+QUERIES |= {f.__name__: f for f in [op1_spaced_seed_decontamination, op2_bit_sliced_topk, op3_conditional_random_field_pii, op4_nb_support_vectors, op5_language_id, op6_warc_zstd, op7_count_vector_join, op8_hierarchical_packing, op9_consensus_extraction, op10_levenshtein_toxicity, op11_bwt_merge_dedup, op12_four_russians_repair, op13_era_collocations]}
