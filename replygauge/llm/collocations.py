@@ -210,11 +210,17 @@ def _suffixes(docs: DataFrame, seed: int, pairs, first: np.ndarray, parts: np.nd
 _NODE = "id long, words array<long>, f long, left array<long>, right array<long>, inner array<long>"
 
 
-def _subtree(table: pa.Table) -> pa.Table:
-    """All phrases of a group's suffix subtree with the totals of their leaves.
+def _subtrees(least: int, shared: np.ndarray):
+    """The builder of a group's subtree; a pair may lie in several of the groups named by ``shared``."""
+    return lambda table: _subtree(table, least, bool(shared[table["part"][0].as_py()]))
+
+
+def _subtree(table: pa.Table, least: int, shared: bool) -> pa.Table:
+    """The phrases of a group's suffix subtree that are frequent, with the totals of their leaves.
 
     Sorted suffixes are the leaves in order; those that agree in their first d
-    words lie below one node of depth d.
+    words lie below one node of depth d. Of a shared group all pairs come, since
+    other groups may hold the rest of their leaves.
     """
     table = table.combine_chunks()
     rows = np.stack([table[f"w{i}"].combine_chunks().flatten().to_numpy().view(np.uint64) for i in range(1, DEPTH + 1)], axis=1)
@@ -229,7 +235,7 @@ def _subtree(table: pa.Table) -> pa.Table:
         if depth < 2:
             continue
         total = np.add.reduceat(counts, at)
-        real = rows[at, depth - 1] != 0
+        real = (rows[at, depth - 1] != 0) & ((total >= least) | (shared and depth == 2))
         words, total = rows[at[real], :depth], total[real]
         keys = {}
         for a in range(depth):
@@ -275,8 +281,10 @@ def phrase_counts(docs: DataFrame, least: int = 30, budget: int = BUDGET, gather
     first, parts = grouped_cells({r.cell: r.f for r in totals}, budget)
     known = spark.sparkContext.broadcast(bitmap_of(pairs.select("id")))
     suffixes = _suffixes(docs, seed, known, first, parts, gathered)
-    nodes = suffixes.groupBy("part").applyInArrow(_subtree, _NODE)
-    # Only a cell with groups of its own can have a pair in several groups.
+    shared = np.zeros(int((first + parts).max()), bool)
+    for cell in np.flatnonzero(parts > 1):
+        shared[first[cell] : first[cell] + parts[cell]] = True
+    nodes = suffixes.groupBy("part").applyInArrow(_subtrees(least, shared), _NODE)
     once = nodes.groupBy("id").agg(F.sum("f").alias("f"), *(F.any_value(c).alias(c) for c in ("words", "left", "right", "inner")))
     return words, written(once.where(F.col("f") >= least), "phrases")
 
