@@ -327,13 +327,13 @@ def expand_shorthand(
 ) -> DataFrame:
     """Add the text with each term written out after its first use.
 
-    One projection per term, so that a text without the term is passed on and
+    A term that starts an identifier, such as TXN-77, is no use of it. One projection per term, so that a text without the term is passed on and
     not searched.
     """
     low = f"__{into}_low"
     df = df.withColumns({low: F.lower(column), into: F.col(column)})
     for term, meaning in terms.items():
-        first_use = F.regexp_replace(into, rf"\A(?s)(.*?)\b((?i){_quote(term)})\b", f"$1$2 ({meaning})")
+        first_use = F.regexp_replace(into, rf"\A(?s)(.*?)\b((?i){_quote(term)})([^\w-]|-\D|\z)", f"$1$2 ({meaning})$3")
         df = df.withColumn(into, F.when(F.col(low).contains(term.lower()), first_use).otherwise(F.col(into)))
     return df.drop(low)
 

@@ -86,61 +86,28 @@ def stage_table(spark: SparkSession) -> DataFrame:
 class RuleScorer:
     """A scorer made of column expressions.
 
-    ``features`` are what it needs to know about the text it judges, the first
-    input of a stage. They become columns, computed once for all stages that judge
-    the same text. ``reply`` makes the JSON reply from them.
+    ``features`` adds what it needs to know about one input of a stage to the table,
+    as columns named ``__<input>_*``: (table, input, column) -> table. They are computed
+    once for all stages that read the same text. ``reply`` makes a stage's JSON reply
+    from them.
     """
 
-    features: Callable[[Column], dict[str, Column]]
-    reply: Callable[[Stage, dict[str, Column]], Column]
+    features: Callable[[DataFrame, str, str], DataFrame]
+    reply: Callable[[Stage], Column]
 
 
-def _rule_features(text: Column) -> dict[str, Column]:
-    return {"category": tx.classify(text), "refs": tx.order_refs(text)}
-
-
-def _rule_reply(stage: Stage, known: dict[str, Column]) -> Column:
-    fair = F.when(known["category"] == lx.UNCLEAR, 2).otherwise(3)
-    note = F.lit(f"{lx.MOCK_MARKER}] rule-based score")
-    values = {
-        "summary": F.concat(
-            F.lit(f"{lx.MOCK_MARKER} SUMMARY] "), known["category"], F.lit(" on order "), known["refs"], F.lit(".")
-        ),
-        "response": F.concat(
-            F.lit(f"{lx.GREETING}\n\n{lx.MOCK_MARKER} REPLY] Issue: "), known["category"], F.lit(", order "),
-            known["refs"], F.lit(".\n\nKind regards,\nThe Support Team"),
-        ),
-        "information_extraction_score": F.lit(3),
-        "field_coverage_score": fair,
-        "issue_addressal_score": fair,
-        "resolution_clarity_score": F.lit(3),
-        "overall_score": fair + 3,
-    }
-    return F.to_json(F.struct(
-        F.struct(*[values.get(name, note).alias(name) for name in stage.schema.names]).alias("output")
-    ))
-
-
-# Baseline: replies derived from category and references. A text too unclear to
-# classify loses one point on coverage and on addressal.
-RULES = RuleScorer(_rule_features, _rule_reply)
-
-
-def run_rules(df: DataFrame, stage: Stage, fields: Mapping[str, str], scorer: RuleScorer = RULES) -> DataFrame:
+def run_rules(df: DataFrame, stage: Stage, fields: Mapping[str, str], scorer: RuleScorer) -> DataFrame:
     """Run a stage with a rule scorer. Adds raw reply, class and parsed struct.
 
     A row with a blank input is not sent; its class is ``empty``. Feature columns
     stay on the row, named ``__<input>_<feature>``, for the stages that follow.
     """
-    subject = stage.inputs[0]
-    prefix = f"__{subject}_"
-    if not any(name.startswith(prefix) for name in df.columns):
-        features = scorer.features(F.col(fields[subject]))
-        df = df.withColumns({prefix + name: feature for name, feature in features.items()})
-    known = {name.removeprefix(prefix): F.col(name) for name in df.columns if name.startswith(prefix)}
+    for name in stage.inputs:
+        if not any(column.startswith(f"__{name}_") for column in df.columns):
+            df = scorer.features(df, name, fields[name])
     unsent = reduce(or_, [tx.is_blank(fields[name]) for name in stage.inputs])
     raw = f"{stage.name}_raw"
-    scored = df.withColumn(raw, F.when(~unsent, scorer.reply(stage, known)))
+    scored = df.withColumn(raw, F.when(~unsent, scorer.reply(stage)))
     return parse_replies(scored, raw, stage.schema, into=stage.name)
 
 
@@ -148,8 +115,16 @@ def run_rules(df: DataFrame, stage: Stage, fields: Mapping[str, str], scorer: Ru
 FIELDS = {"ticket": "support_ticket_desc", "summary": "summarise.summary", "response": "respond.response"}
 
 
-def enrich(tickets: DataFrame, scorer: RuleScorer = RULES) -> DataFrame:
-    """All four stages over a ticket table, without a shuffle."""
+def enrich(tickets: DataFrame, scorer: RuleScorer | None = None) -> DataFrame:
+    """All four stages over a ticket table, without a shuffle of the tickets.
+
+    Without a scorer, the baseline that is fitted to these tickets: one pass before
+    this one, which counts words.
+    """
+    if scorer is None:
+        from replygauge.operators import baseline
+
+        scorer = baseline.fit(tickets)
     enriched = tickets
     for stage in STAGES:
         enriched = run_rules(enriched, stage, FIELDS, scorer)

@@ -43,6 +43,28 @@ TICKET_FACTS = {
     16: (["inr 1,500"], ["5 march 2024"], ["two weeks"], []),
     17: ([], ["3rd of may"], [], []),
 }
+# The same facts in their normal form, told by hand, in the order of kinds: money, dates, spans, transactions.
+TICKET_TYPED = {
+    0: ["money USD 49.99", "span 5 day"],
+    2: ["date 2024-03-05"],
+    4: ["span 12 day", "transaction 8812345"],
+    5: ["transaction 7710021"],
+    10: ["span 9 day"],
+    15: ["span 3-5 business day"],
+    16: ["money INR 1500.00", "date 2024-03-05", "span 14 day"],
+    17: ["date --05-03"],
+}
+# How they are written, references apart: transactions, amounts, dates, spans.
+TICKET_STATED = {
+    0: ["$49.99", "5 days"],
+    2: ["2024-03-05"],
+    4: ["TXN8812345", "12 days"],
+    5: ["TXN-7710021"],
+    10: ["9 days"],
+    15: ["3 to 5 business days"],
+    16: ["INR 1,500", "5 March 2024", "two weeks"],
+    17: ["3rd of may"],
+}
 TICKET_SPANS = {0: ["5 day"], 4: ["12 day"], 10: ["9 day"], 15: ["3-5 business day"], 16: ["2 week"]}
 REPLY_PHRASES = [
     "Your refund for order SNX-1042 will reach you within 5 to 7 business days.",
@@ -64,11 +86,21 @@ REPLY_PHRASES = [
     "My instructions do not allow that.",
     "Please send your order number, transaction reference, a photograph and your delivery address.",
     "We look into it for a few days, or within a week.",
+    "We have sent INR 750.00 to your card on 7 March 2024.",
+    "The 1,500 rupees that you paid were booked on 2024-03-05, that is 336 hours ago.",
 ]
 # What each of them holds, told by hand: time spans, prohibitions, details asked for.
 REPLY_SPANS = {
     0: ["5-7 business day"], 1: ["2 business day"], 2: ["4 day"], 4: ["3-5 business day"], 8: ["24 hour"], 10: ["7 day"],
     12: ["2 week", "48 hour"], 13: ["30 day", "1.5 business day"], 14: ["5-7 business day"], 18: ["few day", "a week"],
+    20: ["336 hour"],
+}
+# Facts of the replies in their normal form, told by hand.
+REPLY_TYPED = {
+    0: ["span 5-7 business day"], 1: ["span 2 business day"], 2: ["span 4 day"], 4: ["span 3-5 business day"],
+    8: ["money INR 100.00", "span 1 day"], 10: ["span 7 day"], 12: ["span 14 day", "span 2 day"],
+    13: ["span 30 day", "span 1.5 business day"], 14: ["span 5-7 business day"], 18: ["span few day", "span 7 day"],
+    19: ["money INR 750.00", "date 2024-03-07"], 20: ["money INR 1500.00", "date 2024-03-05", "span 14 day"],
 }
 REPLY_CODES = {
     5: ["POLICY_NUMBER"], 6: ["AUTOMATION"], 7: ["LEGAL_THREAT"], 15: ["BLAME", "INTERNAL_TEAM"], 16: ["INSTRUCTIONS"],

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from replygauge.functions import lexicon as lx
+from replygauge.functions.policies import GRANTED
 from replygauge.plans.derive import (
     REPLY_CODES, REPLY_DETAILS, REPLY_ENDS, REPLY_PHRASES, REPLY_SPANS, TICKET_FACTS, TICKET_PHRASES,
-    TICKET_SPANS,
+    TICKET_SPANS, TICKET_TYPED, REPLY_TYPED,
 )
 
 
@@ -109,6 +110,13 @@ def facts(index: str, kind: str) -> str:
     return told({i: known[place] for i, known in TICKET_FACTS.items()}, index)
 
 
+def expanded(x: str) -> str:
+    """Each term of the shorthand written out after its first use."""
+    for term, meaning in lx.SHORTHAND.items():
+        x = f"regexp_replace({x}, {q(rf'\A(?s)(.*?)\b((?i){term})([^\w-]|-\D|\z)')}, {q(rf'\1\2 ({meaning})\3')})"
+    return x
+
+
 def minus(left: str, right: str) -> str:
     return f"list_filter({left}, lambda y: NOT list_contains({right}, y))"
 
@@ -117,21 +125,44 @@ def joined(items: str) -> str:
     return f"array_to_string(list_sort({items}), ', ')"
 
 
+GRANTED_SQL = "[" + ", ".join(map(q, GRANTED)) + "]"
+
+
+def starting(items: str, kind: str, yes: bool = True) -> str:
+    return f"list_filter({items}, lambda f: {'' if yes else 'NOT '}starts_with(f, {q(kind + ' ')}))"
+
+
+def entailed(items: str) -> str:
+    """A date with a year also states its day and month, and one with a month its day."""
+    full = f"list_transform(list_filter({items}, lambda f: regexp_matches(f, '^date \\d{{4}}-')), lambda f: 'date --' || f[-5:])"
+    days = f"list_transform(list_filter({items}, lambda f: regexp_matches(f, '^date (\\d{{4}}|-)-\\d\\d')), lambda f: 'date ---' || f[-2:])"
+    return f"({items} || {full} || {days})"
+
+
+def both(left: str, right: str) -> str:
+    return f"len(list_filter({left}, lambda y: list_contains({right}, y)))"
+
+
 AUDIT = f"""{PAIRS},
 elements AS (
   SELECT *, {refs('source')} AS source_refs, {refs('reply')} AS reply_refs,
     {labels('source', lx.RESOLUTIONS)} AS wanted, {labels('reply', lx.RESOLUTIONS)} AS given,
-    {spans()} AS reply_spans, {off_policy()} AS off_spans, {codes()} AS codes,
+    {told(TICKET_TYPED, 'asked_phrase')} AS source_facts, {told(REPLY_TYPED, 'phrase')} AS reply_facts, {codes()} AS codes,
     len({details()}) > 0 AS asks
   FROM pairs),
+typed AS (
+  SELECT *, {starting('reply_facts', 'span')} AS reply_spans,
+    {minus(starting('reply_facts', 'span'), GRANTED_SQL)} AS off_spans,
+    {minus(minus(starting('reply_facts', 'span', False), entailed('source_facts')), GRANTED_SQL)} AS invented_facts
+  FROM elements),
 parts AS (
-  SELECT *, len({minus('reply_refs', 'source_refs')}) > 0 AS invented,
-    CASE WHEN len(source_refs) + len(wanted) = 0 THEN 1.0 ELSE
-      (len(list_filter(source_refs, lambda r: list_contains(reply_refs, r)))
-       + len(list_filter(wanted, lambda w: list_contains(given, w)))) / (len(source_refs) + len(wanted)) END AS share,
+  SELECT *, len({minus('reply_refs', 'source_refs')}) > 0 OR len(invented_facts) > 0 AS invented,
+    CASE WHEN len(source_refs) + len(wanted) + len(source_facts) = 0 THEN 1.0 ELSE
+      ({both('source_refs', 'reply_refs')} + {both('wanted', 'given')} + {both('source_facts', entailed('reply_facts'))})
+      / (len(source_refs) + len(wanted) + len(source_facts)) END AS share,
     len(wanted) = 0 OR list_has_any(wanted, given) AS answered,
     asks AND len(source_refs) = 0 AS asks_details
-  FROM elements),
+  FROM typed),
 scored AS (
   SELECT *,
     CASE WHEN invented THEN 1 ELSE 3 END AS information_extraction_score,

@@ -143,14 +143,8 @@ def summary_form(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _expanded(text: str) -> str:
-    for term, meaning in lx.SHORTHAND.items():
-        text = f"regexp_replace({text}, {s.q(rf'\A(?s)(.*?)\b((?i){term})\b')}, {s.q(rf'\1\2 ({meaning})')})"
-    return text
-
-
 @query(f"""
-WITH {s.TICKETS}, x AS (SELECT *, {_expanded('support_ticket_desc')} AS expanded FROM tickets)
+WITH {s.TICKETS}, x AS (SELECT *, {s.expanded('support_ticket_desc')} AS expanded FROM tickets)
 SELECT support_ticket_id, expanded <> support_ticket_desc AS is_changed, sha256(expanded) AS expanded_sha
 FROM x""")
 def shorthand(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,7 +22,7 @@ def load_prompts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def policy_clauses(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """Numbered policies and their bullets, as (key, policy_no, clause)."""
+    """Numbered policies and their bullets, as (key, policy_no, clause_no, clause); clauses count from 1."""
     body = F.concat(F.col(text), F.lit("\n"))
     blocks = F.regexp_extract_all(body, F.lit(_POLICY), F.lit(0))
     policies = texts.select(key, F.explode(blocks).alias("block"))
@@ -32,8 +32,8 @@ def policy_clauses(texts: DataFrame, key: str, text: str) -> DataFrame:
     return policies.select(
         key,
         F.regexp_extract("block", r"^(\d+)", 1).cast("int").alias("policy_no"),
-        F.explode(bullets).alias("clause"),
-    ).withColumn("clause", F.ltrim("clause", F.lit("- ")))
+        F.posexplode(bullets).alias("place", "bullet"),
+    ).select(key, "policy_no", (F.col("place") + 1).alias("clause_no"), F.ltrim("bullet", F.lit("- ")).alias("clause"))
 
 
 def clause_facts(clause: ColumnOrName) -> Column:

@@ -121,9 +121,9 @@ def test_prompts_and_clauses(spark, tmp_path):
     assert len(found["a"].version) == 64
     clauses = prompts.policy_clauses(loaded, "prompt", "text")
     assert rows(clauses) == [
-        ("a", 1, "A refund within 10 days of delivery"),
-        ("a", 1, "Paid in 5 to 7 business days"),
-        ("a", 2, "A voucher of Rs 100 after 3 days"),
+        ("a", 1, 1, "A refund within 10 days of delivery"),
+        ("a", 1, 2, "Paid in 5 to 7 business days"),
+        ("a", 2, 1, "A voucher of Rs 100 after 3 days"),
     ]
     facts = clauses.select(prompts.clause_facts("clause").alias("f"))
     assert sorted(sum((r.f for r in facts.collect()), [])) == ["10 day", "3 day", "5-7 business day", "rs 100"]
