@@ -26,6 +26,8 @@ MASKS = ("110111", "11001011")
 SHORT_MASKS = (("1", 1, 1), ("11", 2, 2), ("111", 3, 3), ("1111", 4, None), ("11011", 5, None), ("10111", 5, 5), ("11101", 5, 5))
 #: Agreeing words that make an overlap, or four fifths of a shorter item.
 LEAST = 10
+#: Words of the shortest item that deletes documents.
+LEAST_ITEM = 8
 #: A disagreement takes more than so many agreeing words beside it.
 PENALTY = 4
 
@@ -160,9 +162,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
-    """The rows of ``docs``, all columns, without those that hold a passage of the benchmark."""
-    found = written(overlaps(docs, benchmark, least).select("doc_id", "text_hash").distinct(), "contaminated").alias("f")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, least_item: int = LEAST_ITEM) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that hold a passage of a benchmark item of ``least_item`` or more words.
+
+    Shorter items, such as an answer of one word, stand in many clean texts; ``overlaps``
+    reports them, and they delete nothing. Rows with a null or empty text stay, and so
+    does everything if either table is empty. Rows that repeat an id go by their own text.
+    """
+    held = overlaps(docs, benchmark, least).where(F.col("n_item") >= least_item)
+    found = written(held.select("doc_id", "text_hash").distinct(), "contaminated").alias("f")
     d = docs.alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.xxhash64(F.col("d.text").cast("string")) == F.col("f.text_hash"))
     return d.join(found, same, "left_anti")

@@ -76,21 +76,22 @@ def test_topk_of_few_rows(spark):
 # -- decontamination --------------------------------------------------------
 
 
-def plain_overlaps(docs, items, least=10):
+def stated_overlaps(docs, items, least=10):
+    """From the definition: any stretch that agrees in more than four of five words and has enough agreeing ones, or four fifths of a short item."""
     word = re.compile(r"[^\W_]+")
     out = {}
     for (d, x), (i, y) in itertools.product(docs, items):
         a, b = word.findall((x or "").lower()), word.findall((y or "").lower())
-        for shift in range(-len(b) + 1, len(a)):
-            score = words = best = most = 0
-            for j in range(max(0, -shift), min(len(b), len(a) - shift)):
-                same = b[j] == a[j + shift]
-                score = max(0, score + (1 if same else -4))
-                words = 0 if score == 0 else words + same
-                if score > best:
-                    best, most = score, words
-            if most and most >= min(least, -(-4 * len(b) // 5)):
-                out[d, i] = max(out.get((d, i), 0), most)
+        whole = -(-4 * len(b) // 5) <= least
+        enough = -(-4 * len(b) // 5) if whole else least
+        for shift in range(-len(b) + 1, len(a) if b else 0):
+            same = [b[j] == a[j + shift] for j in range(max(0, -shift), min(len(b), len(a) - shift))]
+            if sum(same) < enough:
+                continue
+            for at, to in [(0, len(same))] if whole else itertools.combinations(range(len(same) + 1), 2):
+                agreeing = sum(same[at:to])
+                if agreeing >= enough and (whole or 5 * agreeing > 4 * (to - at)):
+                    out[d, i] = max(out.get((d, i), 0), agreeing)
     return out
 
 
@@ -119,30 +120,21 @@ def test_decontamination_equals_brute_force(spark):
     frame = spark.createDataFrame([(d, t, "k") for d, t in docs], "doc_id long, text string, shift string")
     bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, words int")
     found = {(x.doc_id, x.item_id): x.n_matched for x in decontaminate.overlaps(frame, bench).collect()}
-    want = plain_overlaps(docs, items)
-    assert found.items() <= want.items()
-    # an item too short for the guarantee of the masks may be missed where a word is substituted
-    assert {k: v for k, v in want.items() if len((dict(items)[k[1]] or "").split()) >= 11}.items() <= found.items()
+    assert found == stated_overlaps(docs, items)
     kept = decontaminate.drop_contaminated(frame, bench)
     assert kept.columns == frame.columns
-    bad = {d for d, _ in found}
-    assert sorted(-1 if x.doc_id is None else x.doc_id for x in kept.collect()) == sorted([*(d for d, _ in docs if d is not None and d not in bad), 102])
+    long_items = [(i, t) for i, t in items if len((t or "").split()) >= decontaminate.LEAST_ITEM]
+    clean = [d for d, t in docs if not stated_overlaps([(d, t)], long_items)]
+    assert Counter(x.doc_id for x in kept.collect()) == Counter(clean) and {100, 101, 102} <= set(clean)
     assert decontaminate.overlaps(frame.limit(0), bench).count() == decontaminate.overlaps(frame, bench.limit(0)).count() == 0
 
 
-def stated_overlaps(docs, items, least=10):
-    """From the definition: any stretch that agrees in more than four of five words and has enough agreeing ones, or four fifths of a short item."""
-    out = {}
-    for (d, x), (i, y) in itertools.product(docs, items):
-        a, b = x.split(), y.split()
-        for shift in range(-len(b) + 1, len(a)):
-            same = [b[j] == a[j + shift] for j in range(max(0, -shift), min(len(b), len(a) - shift))]
-            whole = -(-4 * len(b) // 5) <= least
-            for at, to in [(0, len(same))] if whole else itertools.combinations(range(len(same) + 1), 2):
-                agreeing = sum(same[at:to])
-                if agreeing >= (-(-4 * len(b) // 5) if whole else least) and (whole or 5 * agreeing > 4 * (to - at)):
-                    out[d, i] = max(out.get((d, i), 0), agreeing)
-    return out
+def test_short_items_delete_no_clean_documents(spark):
+    docs = spark.createDataFrame([(1, "Yes it is the one"), (2, "the other"), (3, "none"), (4, "a b c d e f g h i"), (None, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "Yes"), (2, "the"), (3, "b c d e f g h i")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.overlaps(docs, bench).collect()} == {(1, 1), (1, 2), (2, 2), (4, 3)}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).orderBy("doc_id").collect()] == [None, 1, 2, 3]
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench, least_item=1).orderBy("doc_id").collect()] == [None, 3]
 
 
 def test_masks_hit_every_stretch_of_ten_agreeing_words():
@@ -364,7 +356,7 @@ def test_pipeline_stages(spark):
 
     clean = stage["decontamination"](spark, docs, FOLDER)
     items = [(r.item_id, r.text) for r in table(spark, FOLDER, "benchmark").collect()]
-    bad = {d for d, _ in plain_overlaps([(d, t) for d, t in texts.items() if len(t or "") < 1500], items)}
+    bad = {d for d, _ in stated_overlaps([(d, t) for d, t in texts.items() if len(t or "") < 1500], items)}
     short = {d for d, t in texts.items() if len(t or "") < 1500}
     assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} & short == short - bad
 
