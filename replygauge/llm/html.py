@@ -45,6 +45,8 @@ BOILERPLATE = re.compile(
     r"comments?|comment-list|respond|replies|disqus|related|recommended|login|signup|search|toolbar|widget|copyright|legal|hidden|"
     r"complementary|contentinfo|skip|skip-link)(?=$|[\s_-])", re.IGNORECASE
 )
+#: Classes that tell what an element has or lacks, not what it is.
+_STATE = re.compile(r"(?<!\S)(?:[\w-]+-)?(?:no|has|with|without)[-_]\S*", re.IGNORECASE)
 #: Elements nested deeper are read as text of the element around them.
 DEEPEST = 512
 _PAGE = frozenset(["html", "body", "main"])
@@ -69,13 +71,42 @@ class Container:
     blocks: list[str] = field(default_factory=list)
 
 
+@dataclass
+class Marked:
+    """Elements that a class, id or role, or a form, would leave out, by the place of their start tag."""
+
+    #: Unlinked characters below each, and of the whole page.
+    text: dict[int, int] = field(default_factory=dict)
+    total: int = 0
+    #: Those around the first article, and whether one stands outside of them.
+    around: frozenset[int] = frozenset()
+    article: bool = False
+    plain: bool = False
+
+    def wrappers(self) -> frozenset[int]:
+        """Those that hold the page's article: the only one, or without one over four fifths of the unlinked text."""
+        if self.article or self.plain:
+            return frozenset() if self.plain else self.around
+        return frozenset(i for i, n in self.text.items() if 5 * n > 4 * self.total)
+
+
 def containers(page: str) -> dict[str, Container]:
     """Text blocks of a page by the generalised path of each element around them.
 
-    Boilerplate elements and all below them are left out. A block belongs to every
-    element around it.
+    Boilerplate elements and all below them are left out, except that a mark (class,
+    id, role) or a form leaves out no element that holds the page's article (see
+    ``Marked``). A block belongs to every element around it.
     """
+    marked = Marked()
+    found = _containers(page, frozenset(), marked)
+    wrappers = marked.wrappers()
+    return _containers(page, wrappers, Marked()) if wrappers else found
+
+
+def _containers(page: str, wrappers: frozenset[int], marked: Marked) -> dict[str, Container]:
     found: dict[str, Container] = {}
+    soft: list[tuple[int, int]] = []  # open marked elements: place in the stack, place of the start tag
+    hard = 0  # place in the stack of the outermost element that its tag leaves out; 0: none
     # open elements: tag, path, whether inside of something left out, whether inside a link
     stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
     words: list[str] = []
@@ -107,13 +138,25 @@ def containers(page: str) -> dict[str, Container]:
 
     def say(piece: str) -> None:
         nonlocal linked
-        if piece and not stack[-1][2]:
+        if not piece:
+            return
+        if not hard and not stack[-1][3] and not piece.isspace():
+            size = len(piece.strip())
+            marked.total += size
+            for _, place in soft:
+                marked.text[place] += size
+        if not stack[-1][2]:
             text = html.unescape(piece) if "&" in piece else piece
             words.append(text)
             if stack[-1][3]:
                 linked += len(text)
 
     def close(to: int) -> None:
+        nonlocal hard
+        while soft and soft[-1][0] >= to:
+            soft.pop()
+        if hard >= to:
+            hard = 0
         while len(stack) > to and stack[-1][2]:
             stack.pop()
         if any(s[0] in BLOCK for s in stack[to:]):
@@ -177,9 +220,23 @@ def containers(page: str) -> dict[str, Container]:
             kinds = ".".join(sorted(_DIGITS.sub("", c) for c in classes.lower().split()))
             path = f"{path}/{tag}" + (f".{kinds}" if kinds else "")
         headed = tag not in _PAGE and bool(_open(stack, {"article"}, set()))  # an article's header belongs to it
-        out = out or tag in LEFT_OUT or (tag in OUTSIDE and not (tag == "header" and headed))
-        if marks and tag not in _PAGE:
-            out = out or any(not (headed and "header" in b[0].lower()) for b in BOILERPLATE.finditer(marks))
+        by_tag = tag in LEFT_OUT or (tag in OUTSIDE and tag != "form" and not (tag == "header" and headed))
+        by_tag = by_tag or (tag == "label" and wrappers and _open(stack, {"form"}, set()))
+        by_mark = tag == "form" or (
+            bool(marks) and tag not in _PAGE
+            and any(not (headed and "header" in b[0].lower()) for b in BOILERPLATE.finditer(_STATE.sub(" ", marks)))
+        )
+        if by_mark and not by_tag and not hard:
+            soft.append((len(stack), m.start()))
+            marked.text[m.start()] = 0
+        if by_tag and not hard:
+            hard = len(stack)
+        if tag in ("article", "main") and not hard:
+            if not soft:
+                marked.plain = True
+            elif not marked.article:
+                marked.article, marked.around = True, frozenset(x[1] for x in soft)
+        out = out or bool(by_tag) or (by_mark and m.start() not in wrappers)
         stack.append((tag, path, out, link or tag == "a"))
     say(page[at:])
     close(1)

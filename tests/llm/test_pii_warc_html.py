@@ -147,6 +147,33 @@ PAGE = """<html><body class="has-sidebar"><header><h1>Site</h1></header><div id=
 </article></main><div class="cookie-notice">k</div><footer>f</footer></body></html> tail"""
 
 
+ARTICLE = "<h1>Title</h1>" + "<p>Words of the article that is on this page.</p>" * 8
+
+
+@pytest.mark.parametrize("start, end", [
+    ('<div class="content no-sidebar">', "</div>"),
+    ('<div class="site right-sidebar">', "</div>"),
+    ('<div class="with-comments">', "</div>"),
+    ('<form id="aspnetForm"><input name=q><label>find</label>', "</form>"),
+    ('<div class="page-with-header">', "</div>"),
+    ('<div class="site right-sidebar"><div class="banner on">', "</div></div>"),
+])
+@pytest.mark.parametrize("inner", ["<article>%s</article>", "<main>%s</main>", "<div class=text>%s</div>"])
+def test_wrappers_named_after_boilerplate_keep_the_article(start, end, inner):
+    page = f"<body><nav><a href=/>home</a></nav>{start}{inner % ARTICLE}<div class=comments><p>mine</p></div>{end}<div class=footer>f</div></body>"
+    found = html.containers(page)
+    assert found[html.best_path(found)].blocks == ["Title", *["Words of the article that is on this page."] * 8]
+
+
+def test_marked_parts_beside_an_article_stay_out():
+    for page in (
+        "<body><article><p>short</article><div class=comments><article><p>" + "my long comment " * 20 + "</article></div></body>",
+        '<body><article class="has-share-buttons post"><p>short</article><form><p>' + "sign up here " * 20 + "</form></body>",
+    ):
+        found = html.containers(page)
+        assert found[html.best_path(found)].blocks == ["short"]
+
+
 def test_article_without_what_is_around_it():
     found = html.containers(PAGE)
     assert found[html.best_path(found)].blocks == ["Tést", "onetwo three four", "five six", "a", "b", "x", "y"]
