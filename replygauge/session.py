@@ -35,7 +35,12 @@ def work_root(spark: SparkSession) -> str:
     below ``spark.sql.warehouse.dir``, which a cluster puts on shared storage too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/replygauge_work").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{warehouse} lies on each machine alone; set spark.checkpoint.dir to shared storage")
+    return f"{warehouse.rstrip('/')}/replygauge_work"
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
