@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -26,12 +26,15 @@ LOWER[65:91] += 32
 
 
 def powers(base: int, size: int) -> np.ndarray:
-    """base to the power 0, 1, ... modulo 2 to the 64."""
-    if len(_powers[base]) < size:
-        grown = np.full(max(size, SLICE_BYTES), base, np.uint64)
-        grown[0] = 1
-        _powers[base] = np.cumprod(grown, dtype=np.uint64)
-    return _powers[base][:size]
+    """base to the power 0, 1, ... modulo 2 to the 64; a worker keeps those of a usual slice only."""
+    found = _powers[base]
+    if len(found) < size:
+        found = np.full(max(size, SLICE_BYTES + 1), base, np.uint64)
+        found[0] = 1
+        np.cumprod(found, out=found)
+        if len(found) == SLICE_BYTES + 1:
+            _powers[base] = found
+    return found[:size]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

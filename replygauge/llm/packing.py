@@ -31,8 +31,10 @@ SHORTEST_TIER = 512
 RUN_TOKENS = 1 << 21
 #: Windows of a tier that make up one training step.
 STEP_WINDOWS = 16
-#: Words whose ids are kept; beyond it the table starts anew.
-CACHE_WORDS = 1_500_000
+#: Bytes of words whose ids a worker keeps, by estimate; beyond it the table starts anew.
+CACHE_BYTES = 48 << 20
+#: What a word takes beside its letters and ids: its string, its place and both in a dictionary.
+_WORD_BYTES = 180
 END = 2
 
 PIECES = (
@@ -49,6 +51,15 @@ _SIGNS = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 _ODD = re.compile("[\x1c-\x1f\u03a3]")
 
 
+def _room(values: np.ndarray, size: int) -> np.ndarray:
+    """The values in an array of at least this size, which grows by doubling."""
+    if len(values) >= size:
+        return values
+    grown = np.zeros(max(size, 2 * len(values)), values.dtype)
+    grown[: len(values)] = values
+    return grown
+
+
 class Encoder:
     """Ids of whole texts; each distinct word is encoded once.
 
@@ -67,11 +78,16 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.bounds = np.zeros(1, np.int64)
+        self.held = 0
 
     def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
-        self.flat = np.concatenate([self.flat, ids])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        first = len(self.known)
+        filled, last = int(self.bounds[first]), first + len(words)
+        self.known.update(zip(words, range(first, last), strict=True))
+        self.flat, self.bounds = _room(self.flat, filled + len(ids)), _room(self.bounds, last + 1)
+        self.flat[filled : filled + len(ids)] = ids
+        self.bounds[first + 1 : last + 1] = filled + np.cumsum(sizes)
+        self.held += sum(map(len, words)) + _WORD_BYTES * len(words) + 4 * len(ids)
 
     def learn(self, words: set[str]) -> None:
         """Take in new words; one that ends in signs is put together from its two parts."""
@@ -100,7 +116,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text and the end id."""
-        if len(self.known) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.clear()
         low = [text.lower() for text in texts]
         plain = [
@@ -124,7 +140,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per Python worker, so that its words serve all tasks of the worker."""
+    """One tokenizer per Python worker; a task empties the table of words when it ends."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -238,28 +254,31 @@ def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         ids: list[int | None] = []
         tokens: list[np.ndarray] = []
         held = 0
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids += part["doc_id"].to_pylist()
-                new = words.encode([x or "" for x in part["text"].to_pylist()])
-                tokens += new
-                held += sum(map(len, new))
-                if held >= RUN_TOKENS:
-                    out, sequence, group = rows(ids, tokens, sequence, group)
-                    yield out
-                    ids, tokens, held = [], [], 0
-        if ids:
-            yield rows(ids, tokens, sequence, group)[0]
+        try:
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    ids += part["doc_id"].to_pylist()
+                    new = words.encode([x or "" for x in part["text"].to_pylist()])
+                    tokens += new
+                    held += sum(map(len, new))
+                    if held >= RUN_TOKENS:
+                        out, sequence, group = rows(ids, tokens, sequence, group)
+                        yield out
+                        ids, tokens, held = [], [], 0
+            if ids:
+                yield rows(ids, tokens, sequence, group)[0]
+        finally:
+            words.clear()
 
     def rows(ids: list, tokens: list[np.ndarray], sequence: int, group: int) -> tuple[pa.RecordBatch, int, int]:
         windows = pack([len(x) for x in tokens])
         groups = step_groups(windows)
         out: list[tuple] = []
-        raw = [x.astype("<u4").tobytes() for x in tokens]
+        raw = [x.astype("<u4", copy=False).view(np.uint8) for x in tokens]
         for w, (tier, pieces) in enumerate(windows):
             offset = 0
             for d, start, length in pieces:
-                crc = zlib.crc32(memoryview(raw[d])[4 * start : 4 * (start + length)])
+                crc = zlib.crc32(raw[d][4 * start : 4 * (start + length)])
                 out.append((ids[d], start, length, crc, len(tokens[d]), sequence + w, offset, tier, group + groups[w]))
                 offset += length
         columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)]
