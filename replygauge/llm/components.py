@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replygauge.llm.common import written
+from replygauge.llm.common import discard, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,7 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     first in a hashed order that changes from round to round; links inside of one
     node go. Paths shrink by a constant share in expectation, stars at once, so the
     number of rounds grows with the logarithm of the links. Links, nodes and rounds
-    stay in tables of the shared work folder. Ids are not null.
+    are tables of the shared work folder; those of a round go when the next is
+    written. Ids are not null.
     """
     edges = written(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
     nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
@@ -32,8 +33,10 @@ def components(links: DataFrame) -> DataFrame:
             .join(moved, F.col("b") == moved.old).select("a", F.col("to").alias("b"))
         )
         ordered = ends.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        spent = [edges, place, moved]
         edges = written(ordered.distinct(), "links")
         place = written(place.join(moved, place["at"] == moved["old"], "left").select("id", F.coalesce("to", "at").alias("at")), "places")
+        discard(*spent)
         turn += 1
     least = place.groupBy("at").agg(F.min("id").alias("component"))
     return place.join(least, "at").select("id", "component")

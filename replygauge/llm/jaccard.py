@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replygauge.llm.arrays import mix, ngrams, slices, words
-from replygauge.llm.common import written
+from replygauge.llm.common import discard, written
 from replygauge.llm.components import components
 
 #: Coordinates of the tree's points. Larger sets have finer vectors, of about GROUP_SIZE shingles to a group, folded for the tree.
@@ -157,13 +157,10 @@ def similar_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
 
     # a document links to the least one of each shingle's group; a doc_id with several sets is one node
     by_key = Window.partitionBy("key")
-    me = F.struct("id", "size")
-    met = (
-        alike_in_size(single.select("id", "size", F.explode("first").alias("key")), percent)
-        .withColumn("lead", F.min(me).over(by_key)).withColumn("last", F.max("id").over(by_key))
-        .where(F.col("lead.id") != F.col("last"))
-    )
-    met = written(met.select("key", "id", "size", "lead"), "met")
+    near = written(alike_in_size(single.select("id", "size", F.explode("first").alias("key")), percent), "near")
+    groups = written(distinct_groups(near), "groups")
+    met = written(near.join(groups, "key"), "met")
+    discard(near, groups)
     star = met.where(
         (F.col("id") != F.col("lead.id")) & (F.least("size", "lead.size") * 100 >= F.greatest("size", "lead.size") * percent)
     ).select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
@@ -176,15 +173,53 @@ def similar_classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
         placed.withColumn("least", F.min("part").over(by_key)).withColumn("most", F.max("part").over(by_key))
         .where(F.col("least") != F.col("most")).select("key", "id", "size", "part")
     )
-    more = verified(tree_join(written(open_rows, "open-rows"), single, percent), rows, n, percent)
+    open_rows = written(open_rows, "open-rows")
+    discard(met, links)
+    more = verified(tree_join(open_rows, single, percent), rows, n, percent)
     united = so_far.select(F.col("component").alias("a"), F.col("id").alias("b"))
     final = components(united.union(more).union(copies))
+    discard(open_rows, repeated)
     return (
         sets.select("doc_id", F.col("size").cast("long").alias("n_shingles")).join(final, F.col("doc_id") == F.col("id"), "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     )
 
 
+def distinct_groups(keyed: DataFrame) -> DataFrame:
+    """(key, lead) of the keys with several ids; of keys with the same members one stays. lead: the least (id, size).
+
+    Counted before the shuffle. Near copies share most of their shingles, so that most
+    keys of a group repeat its members; members are compared by their number, least and
+    greatest, and four sums of 32 bits of their hashes.
+    """
+    h, g = F.xxhash64("id", "size"), F.xxhash64("size", "id", F.lit(1))
+    sums = [F.sum(x).alias(f"s{i}") for i, half in enumerate((h, g)) for i, x in ((2 * i, F.shiftright(half, 32)), (2 * i + 1, half.bitwiseAND(F.lit(0xFFFFFFFF))))]
+    groups = keyed.groupBy("key").agg(F.min(F.struct("id", "size")).alias("lead"), F.max("id").alias("last"), F.count("*").alias("n"), *sums)
+    members = ["lead", "last", "n", "s0", "s1", "s2", "s3"]
+    return groups.where(F.col("lead.id") != F.col("last")).groupBy(*members).agg(F.min("key").alias("key")).select("key", "lead")
+
+
+def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row of each group of near duplicates: that with the smallest doc_id.
+
+    Rows that repeat both doc_id and text count once. Rows that repeat a doc_id with
+    other texts are documents of their own: the one whose text has the least hash goes
+    by the id, the others by a 62-bit hash above 2**62. Rows without a doc_id, and null
+    or empty texts, stay; an empty table stays empty.
+    """
+    hashed = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    again = hashed.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("_n"), F.min("_hash").alias("_first"))
+    again = written(again.where(F.col("_n") > 1).select("doc_id", "_first"), "repeated-ids")
+    other = F.col("_first").isNotNull() & (F.col("_hash") != F.col("_first"))
+    far = F.shiftrightunsigned(F.xxhash64("doc_id", "_hash"), 2).bitwiseOR(F.lit(1 << 62))
+    nodes = hashed.join(again, "doc_id", "left").withColumn("_node", F.when(other, far).otherwise(F.col("doc_id").cast("long")))
+    classes = similar_classes(nodes.select(F.col("_node").alias("doc_id"), "text"), n, percent)
+    gone = written(classes.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_node")).distinct(), "near-duplicates")
+    kept = nodes.join(gone, "_node", "left_anti")
+    repeated = kept.where(F.col("_first").isNotNull()).select(docs.columns).dropDuplicates(["doc_id", "text"])
+    return kept.where(F.col("_first").isNull()).select(docs.columns).union(repeated)
+
+
 def alike_in_size(keyed: DataFrame, percent: int) -> DataFrame:
     """Rows of a key that have a neighbour in size near enough to be similar; ``key`` then names one run of such neighbours.
 
