@@ -8,7 +8,6 @@ columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from replygauge.llm import decontaminate, jaccard, language, packing, pii
 from replygauge.llm.common import written
@@ -22,16 +21,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates by five-word shingles: that with the smallest doc_id.
-
-    Rows that repeat both doc_id and text count once; rows without a doc_id stay.
-    """
-    classes = jaccard.similar_classes(docs.select("doc_id", "text"), n=5, percent=80)
-    gone = written(classes.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "near-duplicates")
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = written(docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id"), "repeated-ids")
-    once = kept.join(again, "doc_id", "left_anti").select(docs.columns)
-    return once.union(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"]))
+    """One document of each group of near duplicates by five-word shingles and a similarity of 0.8."""
+    return jaccard.drop_near_duplicates(docs, n=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
