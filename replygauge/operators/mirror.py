@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from replygauge.functions.facts import fact_keys, typed_facts
 from replygauge.operators.grounding import terms
+from replygauge.session import stored
 
 #: Least likeness, in thousandths, of clauses that may be the same one.
 LEAST_LIKENESS = 250
@@ -49,10 +50,10 @@ def mirror_clauses(writer: DataFrame, judge: DataFrame, least: int = LEAST_LIKEN
     most. Clauses that match none are one-sided; matched ones with other facts are changed.
     """
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(
+        return stored(df.select(
             "policy_no", F.col("clause_no").alias(f"{name}_no"), F.col("clause").alias(f"{name}_clause"),
             F.array_distinct(terms("clause")).alias(f"{name}_terms"), fact_keys(typed_facts("clause")).alias(f"{name}_facts"),
-        )
+        ), f"{name}-clauses")
 
     left, right = side(writer, "writer"), side(judge, "judge")
     pairs = left.join(right, "policy_no").withColumn("likeness", likeness(*(F.col(f"{n}_{k}") for k in ("terms", "facts") for n in ("writer", "judge"))))

@@ -14,7 +14,7 @@ from replygauge.plans import sql as s
 from replygauge.plans.baseline_sql import CONSOLIDATED, GROUNDED
 from replygauge.plans.derive import reply_pairs, tickets
 from replygauge.plans.registry import query
-from replygauge.session import work_folder
+from replygauge.session import stored, work_folder
 from replygauge.sources.prompts import load_prompts, policy_clauses
 from replygauge.sources.tables import small_table
 
@@ -91,7 +91,7 @@ def policy_clause_mirror(spark: SparkSession, folder: str) -> DataFrame:
         spark.createDataFrame([(po.instruction(OPENINGS[stage], wording),)], "value string").coalesce(1).write.text(f"{path}/{stage}")
     clauses = policy_clauses(load_prompts(spark, f"{path}/*"), "stage", "text")
     writer, judge = (clauses.where(F.col("stage") == stage).select(*_CLAUSE_COLUMNS) for stage in OPENINGS)
-    summaries = stages.enrich(tickets(spark, folder)).select("summarise.summary")
+    summaries = stored(stages.enrich(tickets(spark, folder)).select("summarise.summary"), "summaries")
     cited = ground(summaries, "summary", Clauses.read(writer)).where("is_covered").groupBy("policy_no", F.col("clause_no").alias("writer_no")).agg(F.count(F.lit(1)).alias("cited"))
     mirrored = mirror_clauses(writer, judge).join(cited, ["policy_no", "writer_no"], "left")
     return mirrored.select(

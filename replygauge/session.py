@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -48,6 +48,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table below ``work_root``, read again, so that its expressions are planned once and copied nowhere."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_work(spark: SparkSession) -> bool:
     """Delete the default work root once no result is needed any more; a folder the session names is left to its owner."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_root(spark))
