@@ -19,21 +19,26 @@ ORACLES: dict[str, str] = {}
 
 
 def op2_bit_sliced_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best partners of every vector whose id is divisible by 20, among all rows.
+
+    Vectors that are null, empty or hold a null or non-finite component take no part. Ties go to the
+    smaller id; rows that repeat an id are rows of their own; an empty table gives no rows.
+    """
     return bit_sliced_topk(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
 ORACLES["op2_bit_sliced_topk"] = """
 WITH fine AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.row AS query_row, q.vec_id AS query_id, c.vec_id AS vec_id,
     CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM fine q JOIN fine c ON q.vec_id <> c.vec_id AND q.vec_id % 20 = 0
+  FROM fine q JOIN fine c ON q.row <> c.row AND q.vec_id % 20 = 0 AND len(q.v) = len(c.v)
 ), ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
   FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20

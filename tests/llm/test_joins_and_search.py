@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import re
 import zlib
@@ -41,15 +42,12 @@ def test_word_hashes_depend_on_the_word_alone():
 
 
 def plain_topk(rows, k, every):
-    fine = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            q = [int(np.floor(64 * float(x))) for x in v]
-            fine[i] = min(q, fine.get(i, q))
+    """From the contract: every row but the query's own is a candidate, rows that repeat an id too."""
+    fine = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for i, q in fine.items():
+    for at, (i, q) in enumerate(fine):
         if i % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q, c, strict=True)), j) for j, c in fine.items() if j != i and len(c) == len(q))
+            scored = sorted((-sum(a * b for a, b in zip(q, c, strict=True)), j) for n, (j, c) in enumerate(fine) if n != at and len(c) == len(q))
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -61,13 +59,39 @@ def test_topk_equals_brute_force(spark, k, monkeypatch):
     rows = [(i, [r.choice([-1.0, -0.02, 0.0, 0.5, r.uniform(-3, 3)]) for _ in range(5)]) for i in range(300)]
     rows += [(1000 + i, [0.25] * 5) for i in range(70)]  # ties
     rows += [(2000, None), (2001, []), (2002, [0.1, None, 0.2, 0.3, 0.1]), (2003, [float("nan")] * 5), (2004, [float("inf")] * 5), (None, [0.1] * 5)]
-    rows += [(0, [0.1] * 5), (2020, [1.0, 2.0]), (2021, [3.0, 1.0]), (2040, [0.0] * 5)]
+    rows += [(0, [0.1] * 5), (0, [0.1] * 5), (1, [2.5] * 5), (2020, [1.0, 2.0]), (2021, [3.0, 1.0]), (2040, [0.0] * 5)]
     frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, score int")
     got = sorted(map(tuple, bit_sliced.bit_sliced_topk(frame, 20, k).collect()))
     as_float = [(i, v if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     assert got == plain_topk(as_float, k, 20)
 
 
+def test_topk_of_large_components(spark, monkeypatch):
+    monkeypatch.setattr(bit_sliced, "BLOCK_ROWS", 8)
+    r = random.Random(5)
+    sizes = [1.0, 1.5e6, 3e7, 2e7]
+    rows = [(i, [r.choice(sizes) * r.uniform(-1, 1) for _ in range(3)]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, bit_sliced.bit_sliced_topk(frame, 20, 5).collect())) == plain_topk(rows, 5, 20)
+
+
+def test_topk_ranks_scores_beyond_a_long(spark):
+    rows = [(20, [2.0**44, 2.0**44]), (1, [2.0**44, 1.0]), (2, [2.0**44, 3.0]), (3, [2.0**43, 2.0**43]), (4, [-(2.0**44), 0.0]), (5, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = bit_sliced.bit_sliced_topk(frame, 20, 20).orderBy("rank").collect()
+    top = (1 << 63) - 1
+    assert [(r.vec_id, r.score) for r in got] == [(2, top), (1, top), (3, top), (5, 1 << 56), (4, -top)]
+
+
+def test_topk_parts_of_queries_meet_every_block(spark, monkeypatch):
+    monkeypatch.setattr(bit_sliced, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(bit_sliced, "PART_COMPONENTS", 8)
+    r = random.Random(6)
+    rows = [(i % 150, [r.uniform(-1, 1) for _ in range(4)]) for i in range(200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, bit_sliced.bit_sliced_topk(frame, 5, 7).collect())) == plain_topk(rows, 7, 5)
+
+
 def test_topk_of_few_rows(spark):
     assert bit_sliced.bit_sliced_topk(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     assert bit_sliced.bit_sliced_topk(spark.createDataFrame([(20, [1.0])], "vec_id long, embedding array<float>")).count() == 0
