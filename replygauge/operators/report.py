@@ -152,29 +152,54 @@ def with_delta(
     return result.withColumn("is_drift", F.coalesce(F.col("delta") < -alert, F.lit(False)))
 
 
+def control_chart(
+    series: DataFrame, order: str, value: str, by: Sequence[str] = (), baseline: int = 8, slack: float = 0.5, limit: float = 4.0
+) -> DataFrame:
+    """Cumulative-sum control chart of each series: a slow slide adds up until it alerts.
+
+    The first ``baseline`` rows of a series set its level and spread. From then on each
+    row adds its distance from the level, in spreads and less the slack, to ``low`` (below
+    the level) or ``high`` (above it); neither falls below 0, and beyond the limit it alerts.
+    Both are running sums less their least value so far, so they need no iteration. Rows
+    without a value change nothing; a series without spread in its baseline, or with less
+    than two values there, never alerts. The windows run over the rows of the series only.
+    """
+    rows = Window.partitionBy(*by).orderBy(order)
+    whole, so_far = Window.partitionBy(*by), rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = series.withColumn("__place", F.row_number().over(rows))
+    first = F.when(F.col("__place") <= baseline, F.col(value))
+    spread = F.stddev_samp(first).over(whole)
+    placed = placed.withColumn("__z", F.when(F.col("__place") > baseline, (F.col(value) - F.avg(first).over(whole)) / F.when(spread > 0, spread)))
+    for name, sign in (("low", -1), ("high", 1)):
+        step = F.coalesce(F.col("__z") * sign - slack, F.lit(0.0))
+        placed = placed.withColumn(f"__{name}", F.sum(step).over(so_far))
+        placed = placed.withColumn(name, F.col(f"__{name}") - F.least(F.lit(0.0), F.min(f"__{name}").over(so_far)))
+    return placed.withColumn("is_alert", (F.col("low") > limit) | (F.col("high") > limit)).drop("__place", "__z", "__low", "__high")
+
+
 def confusion(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("judge", "human").agg(F.count(F.lit(1)).alias("n"))
 
 
-def agreement(counts: DataFrame) -> DataFrame:
-    """Agreement rate and Cohen's kappa from a confusion matrix."""
-    sides = counts.select(F.inline(F.array(
+def agreement(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Agreement rate and Cohen's kappa from a confusion matrix, or from one for each value of ``by``."""
+    sides = counts.select(*by, F.inline(F.array(
         F.struct(F.col("judge").alias("label"), F.col("n").alias("by_judge"), F.lit(0).alias("by_human"),
                  F.when(F.col("judge") == F.col("human"), F.col("n")).otherwise(0).alias("agreed")),
         F.struct(F.col("human").alias("label"), F.lit(0).alias("by_judge"), F.col("n").alias("by_human"),
                  F.lit(0).alias("agreed")),
     )))
-    margins = sides.groupBy("label").agg(
+    margins = sides.groupBy(*by, "label").agg(
         F.sum("by_judge").alias("by_judge"), F.sum("by_human").alias("by_human"), F.sum("agreed").alias("agreed")
     )
-    totals = margins.agg(
+    totals = margins.groupBy(*by).agg(
         F.sum("by_judge").alias("n"),
         F.sum("agreed").alias("agreed"),
         F.sum(F.col("by_judge").cast("double") * F.col("by_human")).alias("chance"),
     )
     rate, chance = F.col("agreed") / F.col("n"), F.col("chance") / (F.col("n").cast("double") * F.col("n"))
     return totals.select(
-        "n", "agreed", rate.alias("agreement_rate"), F.try_divide(rate - chance, 1 - chance).alias("kappa")
+        *by, "n", "agreed", rate.alias("agreement_rate"), F.try_divide(rate - chance, 1 - chance).alias("kappa")
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from replygauge.plans import (  # noqa: F401
+    certainty_queries,
     policy_queries,
     reply_queries,
     report_queries,
