@@ -76,7 +76,7 @@ def held_out_agreement(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 6) for c in ("agreement_rate", "kappa")})
 
 
-_BASELINE, _SLACK, _LIMIT = 8, 0.5, 4.0
+_BASELINE, _SLACK, _LIMIT = 16, 1.0, 5.0
 
 
 @query(f"""

@@ -106,16 +106,16 @@ def plain_chart(values, baseline, slack):
 
 def test_chart_equals_the_recursion_and_finds_a_slow_slide(spark):
     r = random.Random(4)
-    steady = [3 + r.uniform(-0.1, 0.1) for _ in range(30)]
-    slide = [x - 0.02 * max(0, i - 10) for i, x in enumerate(steady)]
-    slide[20] = None
-    rows = [(n, i, v) for n, series in (("steady", steady), ("slide", slide), ("flat", [2.0] * 20)) for i, v in enumerate(series)]
+    steady = [3 + r.uniform(-0.1, 0.1) for _ in range(42)]
+    slide = [x - 0.02 * max(0, i - 18) for i, x in enumerate(steady)]
+    slide[24] = None
+    rows = [(n, i, v) for n, series in (("steady", steady), ("slide", slide), ("flat", [2.0] * 42)) for i, v in enumerate(series)]
     frame = spark.createDataFrame(rows, "name string, week int, mean double")
     got = {}
     for row in report.control_chart(frame, "week", "mean", ["name"]).orderBy("week").collect():
         got.setdefault(row.name, []).append(row)
     for name, series in (("steady", steady), ("slide", slide)):
-        assert [x for row in got[name] for x in (row.low, row.high)] == pytest.approx([x for pair in plain_chart(series, 8, 0.5) for x in pair], abs=1e-9)
+        assert [x for row in got[name] for x in (row.low, row.high)] == pytest.approx([x for pair in plain_chart(series, 16, 1.0) for x in pair], abs=1e-9)
     assert {n: any(row.is_alert for row in x) for n, x in got.items()} == {"steady": False, "slide": True, "flat": False}
     steps = report.with_delta(frame.where("name = 'slide'"), "week", "mean", alert=0.5)
     assert not steps.where("is_drift").count()
