@@ -339,6 +339,19 @@ def test_packing_edge_cases(spark, monkeypatch):
     assert packing.pack_documents(docs.limit(0), tokenizer_path()).count() == 0
 
 
+def test_frequent_words_are_encoded_once_though_the_table_is_full(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_BYTES", 20_000)
+    words, learned = packing.Encoder(tokenizer_path()), []
+    learn = words.learn
+    monkeypatch.setattr(words, "learn", lambda new: (learned.extend(new), learn(new)))
+    odd = "été don't l'été, ſtraße ǆ ªº ﬁ a1 x_y (a) %%% 1a ß ẞ naïve,%%% жук"
+    for k in range(20):
+        text = f"the the cat, cat, {odd} " + " ".join(f"w{chr(97 + k)}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+        assert words.encode([text])[0].tolist() == [*words.tokenizer.encode(text, add_special_tokens=False).ids, packing.END]
+        assert words.held < 60_000
+    assert learned.count("the") == learned.count("cat,") == 1 and len(learned) > 1200
+
+
 def test_packing_of_lengths_leaves_no_token_out():
     r = random.Random(5)
     for _ in range(30):
