@@ -6,7 +6,7 @@ from hashlib import md5
 from pyspark.sql import functions as F
 
 from replygauge.functions import facts as fc
-from replygauge.operators.summarise import document_weights, ranked_pieces
+from replygauge.operators.summarise import _place, document_weights, ranked_pieces
 
 
 def test_facts_are_looked_for_only_where_one_can_begin(spark):
@@ -49,3 +49,10 @@ def test_pieces_and_weights_of_odd_texts(spark):
 def test_words_of_a_sentence_are_found_once(spark):
     plan = str(spark.createDataFrame([("a b",)], "text string").select(ranked_pieces("text", bytes(65536)).alias("x"))._jdf.queryExecution().analyzed())
     assert plan.count("regexp_extract_all(") == 2
+
+
+def test_no_word_is_read_as_a_number_digit_by_digit(spark):
+    """Buckets stand where a checksum puts them, one to one; the table follows."""
+    assert sorted(map(_place, range(65536))) == list(range(65536))
+    plan = str(spark.createDataFrame([("a b",)], "text string").select(ranked_pieces("text", bytes(65536)).alias("x"))._jdf.queryExecution().analyzed())
+    assert "conv(" not in plan and "crc32(" in plan
