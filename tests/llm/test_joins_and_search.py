@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from replygauge.llm import arrays, bit_sliced, decontaminate, jaccard, packing
+from replygauge.llm import components as components_module
 from replygauge.llm.components import components
 from replygauge.llm.queries import QUERIES, tokenizer_path
 from replygauge.sources.tables import table
@@ -291,6 +293,19 @@ def test_components(spark, links):
     assert got == root
 
 
+def test_large_work_tables_of_the_join_go_when_they_are_used_up(spark, monkeypatch):
+    made = {}
+    for module in (jaccard, components_module):
+        plain = module.written
+        monkeypatch.setattr(module, "written", lambda df, purpose, plain=plain: made.setdefault(purpose, []).append(table := plain(df, purpose)) or table)
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, text + " more"), (4, "another text of six words"), (5, None)], "doc_id long, text string")
+    rows = jaccard.similar_classes(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == [(1, 57, 1), (2, 57, 1), (3, 58, 1), (4, 2, 4), (5, 0, 5)]
+    held = [purpose for purpose, tables in made.items() for t in tables if Path(t.written_to.removeprefix("file:")).exists()]
+    assert not {"shingle-sets", "sets", "vectors", "pairs", "concerned", "pair-sets"} & set(held) and "pair-sets" in made
+
+
 # -- packing ----------------------------------------------------------------
 
 
