@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from replygauge.functions import facts as fc
 from replygauge.functions import policies as po
-from replygauge.operators import stages
 from replygauge.operators.grounding import Clauses, ground
 from replygauge.operators.mirror import mirror_clauses
 from replygauge.plans import sql as s
 from replygauge.plans.baseline_sql import CONSOLIDATED, GROUNDED
-from replygauge.plans.derive import reply_pairs, tickets
+from replygauge.plans.derive import enriched_tickets, reply_pairs, tickets
 from replygauge.plans.registry import query
 from replygauge.session import stored, work_folder
 from replygauge.sources.prompts import load_prompts, policy_clauses
@@ -51,7 +50,7 @@ SELECT support_ticket_id, clause_score, policy_no, clause_no, clause IS NULL AS
 def grounded_replies(spark: SparkSession, folder: str) -> DataFrame:
     """The clause behind each reply, the spans that the reply names, and whether a person must write it."""
     clauses = Clauses.read(small_table(spark, _CLAUSE_COLUMNS, po.clause_rows()))
-    enriched = stages.enrich(tickets(spark, folder)).select("support_ticket_id", "summarise.summary", "respond.response")
+    enriched = enriched_tickets(spark, folder).select("support_ticket_id", "summarise.summary", "respond.response")
     found = ground(enriched, "summary", clauses)
     spans = fc.typed_facts("response")["span"]
     return found.select(
@@ -91,7 +90,7 @@ def policy_clause_mirror(spark: SparkSession, folder: str) -> DataFrame:
         spark.createDataFrame([(po.instruction(OPENINGS[stage], wording),)], "value string").coalesce(1).write.text(f"{path}/{stage}")
     clauses = policy_clauses(load_prompts(spark, f"{path}/*"), "stage", "text")
     writer, judge = (clauses.where(F.col("stage") == stage).select(*_CLAUSE_COLUMNS) for stage in OPENINGS)
-    summaries = stored(stages.enrich(tickets(spark, folder)).select("summarise.summary"), "summaries")
+    summaries = stored(enriched_tickets(spark, folder).select("summarise.summary"), "summaries")
     cited = ground(summaries, "summary", Clauses.read(writer)).where("is_covered").groupBy("policy_no", F.col("clause_no").alias("writer_no")).agg(F.count(F.lit(1)).alias("cited"))
     mirrored = mirror_clauses(writer, judge).join(cited, ["policy_no", "writer_no"], "left")
     return mirrored.select(

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from replygauge.functions import lexicon as lx
 from replygauge.session import work_folder
 from replygauge.sources import prompts, sinks, tickets
-from replygauge.sources.tables import SPREAD, small_table, spread
+from replygauge.sources.tables import SPREAD, dealt, small_table, spread
 
 HEADER = "support_ticket_id,support_ticket_desc\r\n"
 BOM = "﻿"
@@ -147,6 +147,19 @@ def test_spread_follows_its_setting_alone(spark):
         spark.conf.set(SPREAD, tasks)
 
 
+def test_rows_of_one_row_group_are_dealt_out_over_all_cores(spark, tmp_path):
+    spark.range(2000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    tasks = spark.conf.get(SPREAD)
+    spark.conf.unset(SPREAD)
+    try:
+        rows = [len(part) for part in dealt(one).rdd.glom().collect()]
+    finally:
+        spark.conf.set(SPREAD, tasks)
+    assert sum(rows) == 2000 and len(rows) >= spark.sparkContext.defaultParallelism
+    assert max(rows) <= 2 * 2000 / len(rows)
+
+
 def test_swapped_columns_in_any_file_are_an_error(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"\xef\xbb\xbfsupport_ticket_id,support_ticket_desc\r\n1,x\r\n")
     assert tickets.read_tickets(spark, str(tmp_path), keep_corrupt=True).count() == 1
