@@ -195,3 +195,21 @@ def test_model_result_used_twice_asks_once(spark, tickets, prompts, tmp_path):
 def test_unknown_prompt_is_an_error(tickets, prompts, tmp_path):
     with pytest.raises(ValueError, match="expected one prompt"):
         run(tickets, tmp_path / "log", st.ReplyStore(str(tmp_path)), prompts.where("false"))
+
+
+def test_texts_stay_out_of_the_joins_between_model_stages(spark, tickets, prompts, tmp_path):
+    def model(settings):
+        schema = next(s.schema for s in st.STAGES if s.name == settings.stage)
+        values = {f.name: 2 if f.name.endswith("score") else "told" for f in schema.fields}
+        return lambda batch: batch[["request_key"]].assign(raw=json.dumps({"output": values}))
+
+    twice = tickets.union(tickets).union(tickets.where("support_ticket_id = '3'"))
+    store = st.ReplyStore(str(tmp_path / "replies"))
+    result = st.enrich_with_model(twice, model, store, prompts, "m")
+    stages = [c for s in st.STAGES for c in (f"{s.name}_raw", f"{s.name}_error", f"{s.name}_class", s.name)]
+    assert result.columns == ["support_ticket_id", "support_ticket_desc", *stages]
+    rows = [(r.support_ticket_id, r.judge_summary_class, r.judge_response_class) for r in result.collect()]
+    assert sorted(rows) == sorted([(i, "ok", "ok") for i in "1231233"] + [(i, "empty", "empty") for i in "4545"])
+    assert spark.read.parquet(store.path).groupBy("stage").count().where("count > 3").count() == 0
+    plan = result.select("support_ticket_id", "judge_response_class")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1
