@@ -306,6 +306,16 @@ def test_large_work_tables_of_the_join_go_when_they_are_used_up(spark, monkeypat
     assert not {"shingle-sets", "sets", "vectors", "pairs", "concerned", "pair-sets"} & set(held) and "pair-sets" in made
 
 
+def test_pairs_are_verified_on_texts_not_on_sets_that_take_more_room(spark, monkeypatch):
+    plain, made = jaccard.written, []
+    monkeypatch.setattr(jaccard, "written", lambda df, purpose: made.append((purpose, df.columns)) or plain(df, purpose))
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(1, text), (2, text + " more"), (3, text[:90]), (4, None), (1, "of two texts, one alike")], "doc_id long, text string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 4)], "a long, b long")
+    assert [tuple(x) for x in jaccard.verified(pairs, rows, 4, 85).collect()] == [(1, 2)]
+    assert ("pair-sets", ["id", "text"]) in made
+
+
 # -- packing ----------------------------------------------------------------
 
 
