@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from replygauge.llm import bwt_dedup
@@ -104,3 +106,36 @@ def test_equal_hashes_of_unequal_symbols_are_told_apart():
     data = np.frombuffer(b"aaaabbbbaaaa", np.uint8)
     windows, parted = bwt_dedup._split_unequal(data, np.array([0, 4, 8]), np.array([0, 1, 2]), np.array([True, False, False]), 4)
     assert windows.tolist() == [0, 2, 1] and parted.tolist() == [True, False, True]
+
+
+class InPlace:
+    """Takes the function that Spark would run in its tasks."""
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def test_memory_of_a_task_follows_the_slice_and_not_the_text():
+    text = "".join(np.random.default_rng(3).choice(list("abcdefgh "), 4 << 20))
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([1], pa.int64()), "tie": pa.array([0], pa.int64()), "text": [text]})
+    find = bwt_dedup._candidates(InPlace(), 100, 4, bwt_dedup.GATHERED)
+    list(find([batch.slice(0, 0)]))
+    tracemalloc.start()
+    out = [x.nbytes for x in find([batch])]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(out) > 3_000_000 and max(out) < 6_000_000
+    assert most < 160_000_000
+
+
+def test_cut_out_hands_on_a_few_bytes_at_a_time():
+    """Windows of a hot anchor one by one are a hundred times their text."""
+    text = "".join(np.random.default_rng(4).choice(list("abcdefgh "), 60_000))
+    span = [int(bwt_dedup._span(0, 30_000, 2)), int(bwt_dedup._span(30_000, 29_901, 2)), int(bwt_dedup._span(100, 50, 1))]
+    wanted = pa.array([[{"span": x, "key": 5} for x in span]], pa.list_(pa.struct([("span", pa.int64()), ("key", pa.int64())])))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0]), pa.array([text]), wanted], ["id", "tie", "text", "wanted"])
+    out = list(bwt_dedup._cut_out(100)([batch]))
+    bodies = [(bwt_dedup._unspan(s), b.decode()) for x in out for s, b in zip(x["span"].to_pylist(), x["bytes"].to_pylist(), strict=True)]
+    assert max(x["bytes"].nbytes for x in out) < 2_000_000
+    assert len(bodies) == 59_902
+    assert all(b == text[start : start + n + 99] for (start, n), b in bodies)
