@@ -316,6 +316,35 @@ def test_pairs_are_verified_on_texts_not_on_sets_that_take_more_room(spark, monk
     assert ("pair-sets", ["id", "text"]) in made
 
 
+@pytest.mark.parametrize("map_words", [1, 1 << 18])
+def test_only_sets_that_may_have_equals_are_joined(spark, monkeypatch, map_words):
+    monkeypatch.setattr(jaccard, "MAP_WORDS", map_words)
+    r = random.Random(8)
+    rows = [(i, r.choice([3, 4]), r.choice([-1, 1]) * r.randrange(1 << 62), r.randrange(9)) for i in range(300)]
+    rows += [(1000 + i, *r.choice(rows)[1:]) for i in range(40)]
+    sets = spark.createDataFrame(rows, "doc_id long, size int, one long, two long")
+    same = ["size", "one", "two"]
+    repeated = sets.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n")
+    got = Counter(tuple(x) for x in jaccard.with_representative(sets, repeated, same).select("doc_id", *same, "rep").collect())
+    members = defaultdict(list)
+    for d, *key in rows:
+        members[tuple(key)].append(d)
+    assert got == Counter((d, *key, min(ds) if len(ds) > 1 else None) for key, ds in members.items() for d in ds)
+    joined = []
+    plain = type(sets).join
+    monkeypatch.setattr(type(sets), "join", lambda self, other, *a: joined.append((self, other)) or plain(self, other, *a))
+    jaccard.with_representative(sets, repeated, same)
+    few, = (a.count() for a, b in joined if b is repeated)
+    assert few < 100 or map_words == 1
+
+
+def test_counts_of_a_vector_take_one_byte_unless_they_need_two():
+    for vector in ([3, 0, 255, 7], [3, 0, 256, 65535], [0, 0]):
+        found = jaccard.packed(np.array(vector, "<u2"))
+        assert len(found) == 1 + len(vector) * (1 if max(vector) < 256 else 2)
+        assert jaccard.unpacked(pa.scalar(found, pa.binary())).tolist() == vector
+
+
 # -- packing ----------------------------------------------------------------
 
 
